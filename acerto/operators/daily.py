@@ -24,14 +24,14 @@ DAILY_COLUMNS = ("date_day",) + tuple(
         *[measure for measure in UNMATCHED_MEASURES if measure.endswith(flow)]))
 
 
-def calendar_days(spark: SparkSession, first: Column, last: Column) -> DataFrame:
-    """One row per day, both ends included."""
-    return spark.range(1).select(
+def calendar_days(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
+    """One row per day between two dates of a one-row DataFrame, both included."""
+    return bounds.select(
         F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date_day"))
 
 
 def calendar(spark: SparkSession, config: ReconConfig) -> DataFrame:
-    return calendar_days(spark, F.lit(config.calendar_start), config.yesterday())
+    return calendar_days(spark.range(1), F.lit(config.calendar_start), config.yesterday())
 
 
 def in_calendar(config: ReconConfig) -> Column:
@@ -86,14 +86,13 @@ def fill_days(days: DataFrame, measured: DataFrame, defaults: tuple = ()) -> Dat
     read 0 rather than NULL on a day without rows.
     """
     names = [name for name in measured.columns if name != "date_day"]
-    empty = days.select("date_day", F.lit(True).alias("_calendar"),
-                        *[F.lit(None).cast(measured.schema[n].dataType).alias(n) for n in names])
-    both = empty.unionByName(measured.select("*", F.lit(None).cast("boolean").alias("_calendar")))
-    sums = [F.coalesce(F.sum(n), F.lit(0)) if n in defaults else F.sum(n) for n in names]
-    return (both.groupBy("date_day")
-            .agg(F.max("_calendar").alias("_calendar"),
-                 *[s.alias(n) for s, n in zip(sums, names)])
-            .filter(F.col("_calendar")).drop("_calendar"))
+    marked = days.select("date_day", F.expr("true as _calendar"))
+    sums = [f"coalesce(sum({n}), 0) as {n}" if n in defaults else f"sum({n}) as {n}"
+            for n in names]
+    return (marked.unionByName(measured, allowMissingColumns=True)
+            .groupBy("date_day")
+            .agg(*[F.expr(text) for text in ["max(_calendar) as _calendar", *sums]])
+            .filter("_calendar").drop("_calendar"))
 
 
 def with_differences(daily: DataFrame) -> DataFrame:
@@ -101,13 +100,15 @@ def with_differences(daily: DataFrame) -> DataFrame:
 
     The ratio is NULL where the ledger total is 0.
     """
-    columns: dict[str, Column] = {}
+    computed = {}
     for flow in FLOWS:
-        ledger, jd = F.col(f"amount_ledger_{flow}"), F.col(f"amount_jd_{flow}")
-        columns[f"mismatch_amount_{flow}"] = ledger - jd
-        columns[f"mismatch_{flow}"] = F.round(F.try_divide(ledger - jd, ledger), 6)
-    return (daily.withColumns(columns).select(*DAILY_COLUMNS)
-            .orderBy(F.col("date_day").desc()))
+        difference = f"amount_ledger_{flow} - amount_jd_{flow}"
+        computed[f"mismatch_amount_{flow}"] = difference
+        computed[f"mismatch_{flow}"] = (
+            f"round(try_divide({difference}, amount_ledger_{flow}), 6)")
+    return daily.selectExpr(
+        *[f"{computed.get(name, name)} as {name}" for name in DAILY_COLUMNS]
+    ).orderBy(F.col("date_day").desc())
 
 
 def recon_daily(days: DataFrame, ledger: DataFrame, jd: DataFrame,

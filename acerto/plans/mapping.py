@@ -10,22 +10,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acerto.config import (
-    CREDIT,
-    DEBIT,
-    INTERNAL_TRANSFER,
-    PENDING,
-    PIX_IN,
-    PIX_OUT,
-    REPORT_MEMBER_PREFIX,
-    ReconConfig,
-)
+from acerto.config import REPORT_MEMBER_PREFIX, ReconConfig
 from acerto.functions import pix_key
 from acerto.operators.staging import rename_columns
-from acerto.schemas import REPORT_COLUMNS
 
 CONFIG = ReconConfig(
     as_of=date(1998, 6, 1),
@@ -41,19 +31,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(key: str, divisor: int) -> Column:
-    return F.col(key) % divisor == 0
-
-
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status, key = F.col("o_orderstatus"), F.col("o_orderkey")
-    hours = F.make_dt_interval(F.lit(0), (key % 24).cast("int"), F.lit(0), F.lit(0))
-    incoming = (status == "F") | ((status == "P") & (key % 2 == 0))
-    return _table(spark, sf_dir, "orders").select(
-        key.alias("k"), F.col("o_custkey").alias("acct"),
-        (F.col("o_orderdate") + hours).alias("ts"),
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
-        F.when(incoming, PIX_IN).otherwise(PIX_OUT).alias("typ"))
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k", "o_custkey as acct",
+        "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 as int), 0, 0) as ts",
+        "cast(round(o_totalprice * 100) as bigint) as cents",
+        "o_orderstatus = 'F' or (o_orderstatus = 'P' and o_orderkey % 2 = 0) as incoming")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,96 +45,87 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     The variants of a payment are built side by side and unnested, so the
     table is read once.
     """
-    incoming = F.col("typ") == PIX_IN
-    next_day = F.col("ts") + F.expr("interval 1 day")
-
-    def row(ts: Column, kind: Column, direction: Column, account: Column) -> Column:
-        return F.struct(ts.alias("utc_datetime"), kind.alias("type"),
-                        direction.alias("direction"), account.alias("account_id"))
-
-    plain = F.when(incoming, "TransferIn").otherwise("TransferOut")
-    first = row(
-        F.col("ts"),
-        F.when(_every("k", 73), INTERNAL_TRANSFER).otherwise(F.col("typ")),
-        F.when(incoming, "TransferIn").when(_every("k", 79), "Other").otherwise("TransferOut"),
-        F.when(~_every("k", 89), F.col("acct")))
-    reversal = row(F.col("ts"), F.when(incoming, PIX_OUT).otherwise(PIX_IN),
-                   F.when(incoming, "TransferOut").otherwise("TransferIn"), F.col("acct"))
-    repeat = row(next_day, F.col("typ"), plain, F.col("acct"))
-    variants = (F.when(_every("k", 58), F.array(first, reversal, repeat))
-                .when(_every("k", 29), F.array(first, reversal))
-                .otherwise(F.array(first)))
+    kind = "if(incoming, 'pix_in', 'pix_out')"
+    direction = "if(incoming, 'TransferIn', 'TransferOut')"
+
+    def row(ts: str, kind: str, direction: str, account: str) -> str:
+        return (f"named_struct('utc_datetime', {ts}, 'type', {kind},"
+                f" 'direction', {direction}, 'account_id', {account})")
+
+    first = row("ts", f"if(k % 73 = 0, 'pix_internal_transfer', {kind})",
+                f"if(not incoming and k % 79 = 0, 'Other', {direction})",
+                "if(k % 89 = 0, null, acct)")
+    reversal = row("ts", "if(incoming, 'pix_out', 'pix_in')",
+                   "if(incoming, 'TransferOut', 'TransferIn')", "acct")
+    repeat = row("ts + interval 1 day", kind, direction, "acct")
+    variants = (f"case when k % 58 = 0 then array({first}, {reversal}, {repeat})"
+                f" when k % 29 = 0 then array({first}, {reversal}) else array({first}) end")
     return (_payments(spark, sf_dir)
-            .select(F.col("k").alias("transfer_id"), F.col("cents").alias("amount"),
-                    F.explode(variants).alias("v"))
-            .select("transfer_id", "v.utc_datetime", "v.type", "v.direction", "amount",
-                    "v.account_id"))
+            .selectExpr("k as transfer_id", "cents as amount", f"inline({variants})"))
 
 
 def gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("l_orderkey")
     return (_table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
-            .select(key.alias("ledger_transfer_id"),
-                    F.when(key % 83 != 0, F.concat(F.lit("E"), key.cast("string")))
-                    .alias("end_to_end_id")))
+            .selectExpr("l_orderkey as ledger_transfer_id",
+                        "if(l_orderkey % 83 = 0, null, concat('E', l_orderkey))"
+                        " as end_to_end_id"))
 
 
 def jd_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = F.col("typ") == PIX_IN
-    next_day = F.col("ts") + F.expr("interval 1 day")
-    cents = F.col("cents") + F.when(_every("k", 43), 1).otherwise(0)
-    rows = _payments(spark, sf_dir).filter(~_every("k", 41)).select(
-        F.when(_every("k", 47), next_day).otherwise(F.col("ts")).alias("date_day"),
-        F.concat(F.lit("E"), F.col("k").cast("string")).alias("end_to_end_id"),
-        F.when(incoming, CREDIT).otherwise(DEBIT).alias("direction"),
-        F.when(incoming, cents).otherwise(-cents).alias("amount"),
-        F.when(_every("k", 67), "Aporte").when(_every("k", 71), "Retirada")
-        .when(_every("k", 13), "Devolucao").otherwise("Geral").alias("operation"),
-        F.when(_every("k", 59), "RejeitadoSpiPsp").when(_every("k", 101), "Rejeitado SPI Psp")
-        .when(~_every("k", 61), "Efetivado").alias("status"))
+    rows = _payments(spark, sf_dir).filter("k % 41 <> 0").selectExpr(
+        "if(k % 47 = 0, ts + interval 1 day, ts) as date_day",
+        "concat('E', k) as end_to_end_id",
+        "if(incoming, 'Credito', 'Debito') as direction",
+        "if(incoming, 1, -1) * (cents + if(k % 43 = 0, 1, 0)) as amount",
+        "case when k % 67 = 0 then 'Aporte' when k % 71 = 0 then 'Retirada'"
+        " when k % 13 = 0 then 'Devolucao' else 'Geral' end as operation",
+        "case when k % 59 = 0 then 'RejeitadoSpiPsp' when k % 101 = 0 then 'Rejeitado SPI Psp'"
+        " when k % 61 = 0 then null else 'Efetivado' end as status")
     return rows.withColumn("pix_key", pix_key(F.col("end_to_end_id"), F.col("amount")))
 
 
+_REPORT_TEXT = {
+    "Data Hora": "date_format(ts, 'dd/MM/yyyy HH:mm:ss.SSSSSS')",
+    "Tipo Operação": "case event_type when 'purchase' then 'Geral' when 'view' then 'Devolucao'"
+                     " when 'click' then 'Aporte' else 'Retirada' end",
+    "IdFimAFim": "concat('E', event_id)",
+    "IdFimAFimOriginal": "if(event_type = 'view', concat('E', event_id - 1), null)",
+    "NumCtrlSTR": "concat('STR', event_id)",
+    "D/C": "case when event_id % 3 = 0 then 'Debito' when event_id % 97 = 0 then null"
+           " else 'Credito' end",
+    "Valor": "if(event_id % 103 = 0, null, cast(value as string))",
+    "PSP Recebedor": "if(event_id % 23 = 0, null, cast(user_id as string))",
+    "Agência Recebedora": "cast(user_id % 10 as string)",
+    "Conta Recebedora": "case when event_id % 11 = 0 then concat(user_id, 'X')"
+                        " when event_id % 7 = 0 then null else cast(user_id as string) end",
+    "CPF/CNPJ Recebedora": "case when event_id % 5 = 0 then null"
+                           " when event_id % 2 = 0 then concat(user_id, ',0')"
+                           " else cast(user_id as string) end",
+    "Nome Cliente Recebedor": "concat('name ', user_id)",
+    "PSP Pagador": "cast(user_id + 1 as string)",
+    "Agência Pagadora": "cast(user_id % 7 as string)",
+    "Conta Pagadora": "if(event_id % 13 = 0, 'n/d', cast(user_id + 2 as string))",
+    "CPF/CNPJ Pagador": "cast(user_id + 3 as string)",
+    "Nome Cliente Pagador": "concat('payer ', user_id)",
+    "Situação": "case when event_id % 17 = 0 then 'Pendente' when event_id % 19 = 0 then null"
+                " else 'Efetivado' end",
+    "Tipo Iniciação": "if(event_id % 2 = 0, 'MANUAL', 'QRCODE')",
+}
+_MEMBER = (f"concat(if(event_id % 4 <> 0, '{REPORT_MEMBER_PREFIX}', 'OUTRO'), '_', event_id % 5)"
+           " as member")
+
+
 def report_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report with its own headers, all text."""
-    event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-
-    def text(column: Column) -> Column:
-        return column.cast("string")
-
-    columns = {
-        "Data Hora": F.date_format("ts", "dd/MM/yyyy HH:mm:ss.SSSSSS"),
-        "Tipo Operação": F.when(kind == "purchase", "Geral").when(kind == "view", "Devolucao")
-        .when(kind == "click", "Aporte").otherwise("Retirada"),
-        "IdFimAFim": F.concat(F.lit("E"), text(event)),
-        "IdFimAFimOriginal": F.when(kind == "view", F.concat(F.lit("E"), text(event - 1))),
-        "NumCtrlSTR": F.concat(F.lit("STR"), text(event)),
-        "D/C": F.when(event % 3 == 0, DEBIT).when(event % 97 != 0, CREDIT),
-        "Valor": F.when(event % 103 != 0, text(F.col("value"))),
-        "PSP Recebedor": F.when(event % 23 != 0, text(user)),
-        "Agência Recebedora": text(user % 10),
-        "Conta Recebedora": F.when(event % 11 == 0, F.concat(text(user), F.lit("X")))
-        .when(event % 7 != 0, text(user)),
-        "CPF/CNPJ Recebedora": F.when(event % 5 == 0, None)
-        .when(event % 2 == 0, F.concat(text(user), F.lit(",0"))).otherwise(text(user)),
-        "Nome Cliente Recebedor": F.concat(F.lit("name "), text(user)),
-        "PSP Pagador": text(user + 1),
-        "Agência Pagadora": text(user % 7),
-        "Conta Pagadora": F.when(event % 13 == 0, "n/d").otherwise(text(user + 2)),
-        "CPF/CNPJ Pagador": text(user + 3),
-        "Nome Cliente Pagador": F.concat(F.lit("payer "), text(user)),
-        "Situação": F.when(event % 17 == 0, PENDING).when(event % 19 != 0, "Efetivado"),
-        "Tipo Iniciação": F.when(event % 2 == 0, "MANUAL").otherwise("QRCODE"),
-    }
-    return (_table(spark, sf_dir, "events")
-            .select(*[columns[name].alias(name) for name in REPORT_COLUMNS]))
+    return report_members(spark, sf_dir).drop("member")
+
+
+def report_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report rows and the archive member they lie in."""
+    return _table(spark, sf_dir, "events").selectExpr(
+        _MEMBER, *[f"{text} as `{name}`" for name, text in _REPORT_TEXT.items()])
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report under its staged names."""
     return rename_columns(report_raw(spark, sf_dir))
-
-
-def member_name(event: Column) -> Column:
-    prefix = F.when(event % 4 != 0, REPORT_MEMBER_PREFIX).otherwise("OUTRO")
-    return F.concat(prefix, F.lit("_"), (event % 5).cast("string"))

@@ -7,15 +7,13 @@ chains the operators one by one; both give the same rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acerto.config import PIX_IN, PIX_OUT, ReconConfig
+from acerto.config import ReconConfig
+from acerto.functions import pix_key
 from acerto.operators import daily, jd as jd_side, ledger as ledger_side, match
 from acerto.operators.daily import FLOWS, JD_OPERATION, UNMATCHED_MEASURES
 
-_COUNTS = {PIX_IN: "in", PIX_OUT: "out"}
-
 
 def reconcile_daily_stepwise(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
                              config: ReconConfig) -> DataFrame:
@@ -68,10 +66,6 @@ def jd_side_window(jd: DataFrame, config: ReconConfig) -> DataFrame:
     return jd.filter((raw >= earliest) & (raw < latest))
 
 
-def _count(test: Column) -> Column:
-    return F.when(test, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-
-
 def per_key(transactions: DataFrame, reported: DataFrame) -> DataFrame:
     """One row per (pix_key, day): what each side holds there.
 
@@ -79,56 +73,63 @@ def per_key(transactions: DataFrame, reported: DataFrame) -> DataFrame:
     and that amount say it all. ``no_id_*`` counts those without an id, which no
     refund removes. Provider keys are taken as given, so their amounts are summed.
     """
-    operation = F.col("operation")
-    key = ledger_side.pix_key(F.col("end_to_end_id"), F.col("sided_amount"))
-    no_id = F.col("end_to_end_id").isNull()
+    key = pix_key(F.col("end_to_end_id"), F.col("sided_amount"))
     ledger_rows = transactions.select(
-        key.alias("pix_key"), "date_day", F.col("end_to_end_id").alias("ledger_id"),
-        F.col("sided_amount").alias("amount"),
-        *[_count(operation == flow).alias(f"ledger_{c}") for flow, c in _COUNTS.items()],
-        *[_count((operation == flow) & no_id).alias(f"no_id_{c}") for flow, c in _COUNTS.items()])
-    amount = F.col("amount")
+        key.alias("pix_key"), "date_day",
+        *_exprs("end_to_end_id as ledger_id", "sided_amount as amount"),
+        *_per_flow("cast(operation = '{flow}' as bigint) as ledger_{flow}",
+                   "cast(operation = '{flow}' and end_to_end_id is null as bigint)"
+                   " as no_id_{flow}"))
     jd_rows = reported.select(
-        F.coalesce("pix_key", F.lit("")).alias("pix_key"), "date_day",
-        F.lit(1).cast("bigint").alias("jd_rows"),
-        *[_count(daily.flow_is(flow, operation)).alias(f"jd_{c}") for flow, c in _COUNTS.items()],
-        *[F.when(daily.flow_is(flow, operation), amount).alias(f"jd_amount_{c}")
-          for flow, c in _COUNTS.items()],
-        *[F.when(operation == JD_OPERATION[flow], amount).otherwise(F.lit(0))
-          .alias(f"jd_total_{c}") for flow, c in _COUNTS.items()])
+        *_exprs("coalesce(pix_key, '') as pix_key", "date_day", "1L as jd_rows"),
+        *_per_flow(
+            "cast(operation in ('{flow}', '{jd}') as bigint) as jd_{flow}",
+            "if(operation in ('{flow}', '{jd}'), amount, null) as jd_amount_{flow}",
+            "if(operation = '{jd}', amount, 0L) as jd_total_{flow}"))
     both = ledger_rows.unionByName(jd_rows, allowMissingColumns=True)
-    sums = [n for n in both.columns if n not in ("pix_key", "date_day", "ledger_id", "amount")]
-    # Totals stay NULL without rows; counts read 0.
+    # Provider totals stay NULL without rows; counts read 0.
     return both.groupBy("pix_key", "date_day").agg(
-        F.max("ledger_id").alias("ledger_id"), F.max("amount").alias("amount"),
-        *[(F.sum(n) if n.startswith("jd_total") else F.coalesce(F.sum(n), F.lit(0))).alias(n)
-          for n in sums])
+        *_exprs("max(ledger_id) as ledger_id", "max(amount) as amount",
+                "coalesce(sum(jd_rows), 0) as jd_rows"),
+        *_per_flow(*[f"coalesce(sum({n}_{{flow}}), 0) as {n}_{{flow}}"
+                     for n in ("ledger", "no_id", "jd", "jd_amount")],
+                   "sum(jd_total_{flow}) as jd_total_{flow}"))
+
+
+_ID_DAY_SUMS = ("net_amount",) + tuple(
+    f"{name}_{flow}" for flow in FLOWS
+    for name in ("amount_ledger", "amount_jd", "kept_nb", "kept_amount",
+                 "removed_nb", "removed_amount"))
 
 
 def per_id_day(keys: DataFrame) -> DataFrame:
-    """One row per (ledger id, day): net amount, totals, and the unmatched measures of each case."""
-    amount, col = F.col("amount"), F.col
-    ledger_rows = col("ledger_in") + col("ledger_out")
-    no_id_rows = col("no_id_in") + col("no_id_out")
-    cases = {"kept": ("ledger", ledger_rows), "removed": ("no_id", no_id_rows)}
-
-    columns: dict[str, Column] = {
-        "net_amount": F.when(ledger_rows > no_id_rows, amount * (ledger_rows - no_id_rows))}
-    for flow, c in _COUNTS.items():
-        others = ledger_rows - col(f"ledger_{c}")
-        columns[f"amount_ledger_{flow}"] = F.when(
-            amount.isNotNull(), amount * col(f"ledger_{c}")).when(others > 0, F.lit(0))
-        columns[f"amount_jd_{flow}"] = col(f"jd_total_{c}")
-        for case, (side, rows) in cases.items():
-            one_sided = (rows == 0) | (col("jd_rows") == 0)
-            present = col(f"{side}_{c}")
-            columns[f"{case}_nb_{flow}"] = F.when(one_sided, present + col(f"jd_{c}"))
-            columns[f"{case}_amount_{flow}"] = F.when(
-                one_sided, F.coalesce(present * amount, F.lit(0)) + col(f"jd_amount_{c}"))
-    measured = keys.select("ledger_id", "date_day",
-                           *[value.alias(name) for name, value in columns.items()])
+    """One row per (ledger id, day): net amount, totals, and the unmatched measures of each case.
+
+    "Kept" counts all ledger rows of the key, "removed" only those without an id.
+    """
+    sided = keys.select(
+        "*", *_exprs("ledger_pix_in + ledger_pix_out as ledger_rows",
+                     "no_id_pix_in + no_id_pix_out as no_id_rows"))
+    measured = sided.select(
+        "ledger_id", "date_day",
+        *_exprs("if(ledger_rows > no_id_rows, amount * (ledger_rows - no_id_rows), null)"
+                " as net_amount"),
+        *_per_flow(
+            "case when amount is not null then amount * ledger_{flow}"
+            " when ledger_rows > ledger_{flow} then 0L end as amount_ledger_{flow}",
+            "jd_total_{flow} as amount_jd_{flow}",
+            "if(ledger_rows = 0 or jd_rows = 0,"
+            " ledger_{flow} + jd_{flow}, null) as kept_nb_{flow}",
+            "if(ledger_rows = 0 or jd_rows = 0,"
+            " coalesce(ledger_{flow} * amount, 0L) + jd_amount_{flow}, null)"
+            " as kept_amount_{flow}",
+            "if(no_id_rows = 0 or jd_rows = 0,"
+            " no_id_{flow} + jd_{flow}, null) as removed_nb_{flow}",
+            "if(no_id_rows = 0 or jd_rows = 0,"
+            " coalesce(no_id_{flow} * amount, 0L) + jd_amount_{flow}, null)"
+            " as removed_amount_{flow}"))
     return measured.groupBy("ledger_id", "date_day").agg(
-        *[F.sum(name).alias(name) for name in columns])
+        *_exprs(*[f"sum({name}) as {name}" for name in _ID_DAY_SUMS]))
 
 
 def pick_case(id_days: DataFrame) -> DataFrame:
@@ -137,14 +138,25 @@ def pick_case(id_days: DataFrame) -> DataFrame:
     Every unmatched row has a side missing and is therefore a mismatch; the
     correction measures are 0.
     """
-    removed = F.max(F.col("net_amount") == 0).over(W.partitionBy("ledger_id"))
-    flagged = id_days.withColumn("_removed", F.coalesce(removed, F.lit(False)))
-    measures = {}
-    for name in UNMATCHED_MEASURES:
-        kind, label, _, flow = name.split("_", 3)
-        measures[name] = F.lit(0).cast("bigint") if label == "correction" else F.when(
-            F.col("_removed"), F.col(f"removed_{kind}_{flow}")).otherwise(
-            F.col(f"kept_{kind}_{flow}"))
-    totals = [f"amount_{side}_{flow}" for side in ("ledger", "jd") for flow in FLOWS]
-    return flagged.select("date_day", *totals,
-                          *[value.alias(name) for name, value in measures.items()])
+    flagged = id_days.select(
+        "*", F.expr("coalesce(max(net_amount = 0) over (partition by ledger_id), false)"
+                    " as removed"))
+    return flagged.select(
+        "date_day",
+        *_per_flow(
+            "amount_ledger_{flow}", "amount_jd_{flow}",
+            "if(removed, removed_nb_{flow}, kept_nb_{flow}) as nb_mismatch_tx_{flow}",
+            "0L as nb_correction_tx_{flow}",
+            "if(removed, removed_amount_{flow}, kept_amount_{flow})"
+            " as amount_mismatch_tx_{flow}",
+            "0L as amount_correction_tx_{flow}"))
+
+
+def _exprs(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
+
+
+def _per_flow(*templates: str) -> list[Column]:
+    """Each expression once per flow, with ``{flow}`` and the provider's name ``{jd}`` filled in."""
+    return _exprs(*[t.format(flow=flow, jd=JD_OPERATION[flow])
+                    for flow in FLOWS for t in templates])
