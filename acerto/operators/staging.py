@@ -1,12 +1,14 @@
 """Report rows: rename, type, sign, filter, key, project.
 
-``check_report`` computes the typed row and the reason it cannot be used, once,
-side by side; ``stage_report`` and ``stage_rejects`` are projections of it. No
-step shuffles.
+Every text is converted once, by an expression that gives NULL where it fails.
+``stage_report`` takes the rows where all went well and ``stage_rejects`` the
+others, with the reason. Only ``dedupe_rows`` and ``curate_jd`` shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,9 @@ from acerto.config import (
     OPERATIONS_BY_TRANSACTION_ID,
     PENDING,
 )
-from acerto.functions import numbers, report_key
+from acerto.functions import numbers, pix_key, report_key, sided_amount
 from acerto.functions.time import parse_report_timestamp
 
-_OPERATIONS = OPERATIONS_BY_TRANSACTION_ID + OPERATIONS_BY_CONTROL_NUMBER
-
 
 def rename_columns(report: DataFrame) -> DataFrame:
     """Report headers to staged names; headers that are absent or unknown are left alone."""
@@ -48,91 +48,97 @@ def stage_project(report: DataFrame) -> DataFrame:
     return report.select(*schemas.STAGED_COLUMNS)
 
 
-def _parsed(report: DataFrame) -> DataFrame:
-    """Every text that needs parsing, parsed once, beside the text itself."""
-    parsers = {"date_day": parse_report_timestamp, "amount": numbers.parse_number}
-    parsers |= dict.fromkeys(schemas.ID_COLUMNS + schemas.ACCOUNT_COLUMNS, numbers.parse_number)
-    parsers |= dict.fromkeys(schemas.DOCUMENT_COLUMNS, numbers.document_number)
-    return report.select(
-        "*", *[parse(F.col(name)).alias(f"_{name}") for name, parse in parsers.items()])
-
-
-def _conversion_problems() -> list[tuple[str, Column]]:
-    """(reason, test) for the values that cannot be converted, first to last."""
-    def usable(number: Column) -> Column:
-        return F.coalesce(numbers.fits_long(number), F.lit(False))
+def _converted(report: DataFrame) -> DataFrame:
+    """The report's texts and, in ``_value``, the converted values; NULL where that failed.
 
-    text, parsed = F.col, lambda name: F.col(f"_{name}")
+    The one-element explode keeps the filters that follow from being pushed
+    below the conversion, where they would repeat it for every mention of a
+    value. The transform gives the parsed document numbers a name, as they are
+    needed twice; it also takes the conversion out of the surrounding generated
+    method, which would become too large for the JVM to compile.
+    """
+    def each(columns: tuple[str, ...], convert) -> Column:
+        return F.array(*[convert(F.col(name)) for name in columns])
+
+    documents = each(schemas.DOCUMENT_COLUMNS, numbers.parse_document_number)
+    value = F.struct(
+        parse_report_timestamp(F.col("date_day")).alias("date_day"),
+        numbers.to_cents(numbers.parse_number(F.col("amount"))).alias("amount"),
+        each(schemas.ID_COLUMNS, numbers.as_id_number).alias("ids"),
+        each(schemas.ACCOUNT_COLUMNS, numbers.as_account_number).alias("accounts"),
+        F.transform(documents, numbers.exact).alias("documents"))
+    return report.select("*", F.explode(F.array(value)).alias("_value"))
+
+
+def _values() -> dict[str, Column]:
+    """Staged name to converted value."""
+    value = F.col("_value")
+    values = {"date_day": value["date_day"], "amount": value["amount"]}
+    for group, columns in (("ids", schemas.ID_COLUMNS), ("accounts", schemas.ACCOUNT_COLUMNS),
+                           ("documents", schemas.DOCUMENT_COLUMNS)):
+        values |= {name: value[group][i] for i, name in enumerate(columns)}
+    return values
+
+
+def _problems() -> list[tuple[str, Column]]:
+    """(reason, test) for rows that cannot be loaded. Pending rows never get a key."""
+    values = _values()
     problems = [
-        ("malformed date_day", text("date_day").isNotNull() & parsed("date_day").isNull()),
-        ("missing amount", text("amount").isNull()),
-        ("malformed amount", ~usable(parsed("amount") * F.lit(100.0))),
-    ]
-    problems += [(f"malformed {name}", text(name).isNotNull() & ~usable(parsed(name)))
-                 for name in schemas.ID_COLUMNS]
-    problems += [(f"malformed {name}", parsed(name).isNotNull() & ~usable(parsed(name)))
-                 for name in schemas.ACCOUNT_COLUMNS]
-    problems += [(f"malformed {name}",
-                  ~usable(parsed(name)) | (parsed(name) != F.floor(parsed(name))))
-                 for name in schemas.DOCUMENT_COLUMNS]
-    return problems
-
-
-def _key_problems() -> list[tuple[str, Column]]:
-    """(reason, test) for rows without a key. Pending rows never get one."""
+        ("malformed date_day", F.col("date_day").isNotNull() & values["date_day"].isNull()),
+        ("missing amount", F.col("amount").isNull())]
+    problems += [(f"malformed {name}", value.isNull())
+                 for name, value in values.items() if name != "date_day"]
     kept = ~F.col("status").eqNullSafe(PENDING)
-    operation = F.col("operation")
-    lead = (F.when(operation.isin(*OPERATIONS_BY_TRANSACTION_ID), F.col("end_to_end_id"))
-            .otherwise(F.col("str_pix_control_number")))
-    known = F.coalesce(operation.isin(*_OPERATIONS), F.lit(False))
-    return [("unknown operation", kept & ~known), ("missing key id", kept & lead.isNull())]
+    by_id = F.col("operation").isin(*OPERATIONS_BY_TRANSACTION_ID)
+    by_number = F.col("operation").isin(*OPERATIONS_BY_CONTROL_NUMBER)
+    lead = F.when(by_id, F.col("end_to_end_id")).otherwise(F.col("str_pix_control_number"))
+    return [*problems,
+            ("unknown operation", kept & ~F.coalesce(by_id | by_number, F.lit(False))),
+            ("missing key id", kept & lead.isNull())]
 
 
-def check_report(report: DataFrame, inserted_at: Column | None = None) -> DataFrame:
-    """Renamed text columns plus ``staged`` (the typed row) and ``reject_reason``.
+def _is_bad() -> Column:
+    """Whether a row has any problem; never NULL."""
+    return reduce(Column.__or__, [test for _, test in _problems()])
 
-    ``reject_reason`` is the first reason the row could not be loaded, NULL if
-    it can. ``staged`` is only meaningful where there is none.
-    """
-    problems = _conversion_problems() + _key_problems()
-    reason = F.coalesce(*[F.when(test, F.lit(name)) for name, test in problems])
-    checked = _parsed(report).select("*", reason.alias("reject_reason"))
-
-    valid = F.col("reject_reason").isNull()
-    typed: dict[str, Column] = {name: F.col(name) for name in schemas.REPORT_COLUMNS.values()}
-    typed["date_day"] = F.col("_date_day")
-    for name in schemas.ID_COLUMNS + schemas.ACCOUNT_COLUMNS + schemas.DOCUMENT_COLUMNS:
-        typed[name] = F.when(valid, numbers.as_id_number(F.col(f"_{name}")))
-    amount = F.when(valid, numbers.sided_amount(
-        F.col("direction"), numbers.to_cents(F.col("_amount"))))
-    typed["amount"] = amount
-    typed["inserted_at"] = F.current_timestamp() if inserted_at is None else inserted_at
-    typed["pix_key"] = report_key(F.col("operation"), F.col("end_to_end_id"),
-                                  F.col("str_pix_control_number"), amount, F.col("status"))
-    return checked.select(
-        *report.columns, "reject_reason",
-        F.struct(*[typed[name].alias(name) for name in schemas.STAGED_COLUMNS]).alias("staged"))
-
-
-def accepted(checked: DataFrame, strict: bool = False) -> DataFrame:
-    """Loadable rows, pending ones dropped. ``strict`` fails the job on a bad row instead."""
-    fits = F.col("reject_reason").isNull()
-    if strict:
-        fits = F.when(fits, F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("report row: "), F.col("reject_reason"))).cast("boolean"))
-    return drop_pending(checked.filter(fits)).select("staged.*")
+
+def _reason() -> Column:
+    """The first problem of a row, NULL if it has none."""
+    return F.coalesce(*[F.when(test, F.lit(name)) for name, test in _problems()])
+
+
+def _staged_values(inserted_at: Column | None) -> list[Column]:
+    values: dict[str, Column] = {name: F.col(name) for name in schemas.REPORT_COLUMNS.values()}
+    values |= _values()
+    values["amount"] = sided_amount(F.col("direction"), values["amount"])
+    values["inserted_at"] = F.current_timestamp() if inserted_at is None else inserted_at
+    values["pix_key"] = report_key(
+        F.col("operation"), F.col("end_to_end_id"), F.col("str_pix_control_number"),
+        values["amount"], F.col("status"))
+    return [values[name].alias(name) for name in schemas.STAGED_COLUMNS]
 
 
 def stage_report(report: DataFrame, inserted_at: Column | None = None,
                  strict: bool = False) -> DataFrame:
-    """Report rows (renamed, text) to the 21-column staged table."""
-    return accepted(check_report(report, inserted_at), strict)
+    """Renamed report rows to the 21-column staged table, pending rows dropped.
+
+    Rows that cannot be loaded are left to ``stage_rejects``, or fail the job if
+    ``strict``.
+    """
+    kept = ~F.col("status").eqNullSafe(PENDING)
+    if strict:
+        # One expression: as a filter of its own, the status test could run first.
+        problem = F.concat(F.lit("report row: "), _reason())
+        test = F.when(~_is_bad(), kept).otherwise(F.raise_error(problem).cast("boolean"))
+    else:
+        test = ~_is_bad() & kept
+    return _converted(report).filter(test).select(*_staged_values(inserted_at))
 
 
 def stage_rejects(report: DataFrame) -> DataFrame:
-    """Rows that cannot be loaded, as they came, with the reason."""
-    return (check_report(report).filter(F.col("reject_reason").isNotNull())
-            .select(*report.columns, "reject_reason"))
+    """Rows that cannot be loaded, as they came, with the first reason."""
+    return (_converted(report).filter(_is_bad())
+            .select(*report.columns, _reason().alias("reject_reason")))
 
 
 def staged_or_rejected(report: DataFrame, inserted_at: Column | None = None) -> DataFrame:
@@ -140,16 +146,15 @@ def staged_or_rejected(report: DataFrame, inserted_at: Column | None = None) ->
 
     A rejected row keeps its texts in ``report_row`` and has NULL staged columns.
     """
-    is_rejected = F.col("reject_reason").isNotNull()
-    texts = F.struct(*[F.col(name) for name in schemas.REPORT_COLUMNS.values()])
-    checked = check_report(report, inserted_at).filter(
-        is_rejected | ~F.col("status").eqNullSafe(PENDING))
-    return checked.select(
-        *[F.when(~is_rejected, F.col(f"staged.{name}")).alias(name)
-          for name in schemas.STAGED_COLUMNS],
-        "reject_reason",
-        F.when(is_rejected, texts).alias("report_row"),
-        is_rejected.alias("rejected"))
+    texts = F.struct(*schemas.REPORT_COLUMNS.values())
+    outcome = _converted(report).select("*", _is_bad().alias("rejected")).filter(
+        F.col("rejected") | ~F.col("status").eqNullSafe(PENDING))
+    staged = F.struct(*_staged_values(inserted_at))
+    chosen = outcome.select(
+        F.when(~F.col("rejected"), staged).alias("staged"),
+        F.when(F.col("rejected"), _reason()).alias("reject_reason"),
+        F.when(F.col("rejected"), texts).alias("report_row"), "rejected")
+    return chosen.select("staged.*", "reject_reason", "report_row", "rejected")
 
 
 def dedupe_rows(staged: DataFrame) -> DataFrame:
@@ -170,6 +175,5 @@ def curate_jd(staged: DataFrame) -> DataFrame:
     Drops repeated rows and replaces the three-part key with the two-part one
     the ledger side uses. Own design: the step is not part of the original job.
     """
-    from acerto.functions import pix_key
     once = dedupe_rows(staged.drop("pix_key"))
     return once.withColumn("pix_key", pix_key(F.col("end_to_end_id"), F.col("amount")))

@@ -178,7 +178,7 @@ def sided_amount(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def numeric_id_default0(spark: SparkSession, sf: str) -> DataFrame:
     return mapping.report(spark, sf).select("end_to_end_id", *[
-        fn.as_id_number(fn.parse_number(F.col(name))).alias(name)
+        fn.as_id_number(F.col(name)).alias(name)
         for name in ("receiver_psp", "receiver_branch_number", "sender_psp",
                      "sender_branch_number")])
 
@@ -186,7 +186,7 @@ def numeric_id_default0(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def coerce_account_number(spark: SparkSession, sf: str) -> DataFrame:
     return mapping.report(spark, sf).select("end_to_end_id", *[
-        fn.as_id_number(fn.parse_number(F.col(name))).alias(name)
+        fn.as_account_number(F.col(name)).alias(name)
         for name in ("receiver_account_number", "sender_account_number")])
 
 
