@@ -97,14 +97,16 @@ def _problems() -> list[tuple[str, Column]]:
             ("missing key id", kept & lead.isNull())]
 
 
-def _is_bad() -> Column:
+def _is_bad(report: DataFrame) -> Column:
     """Whether a row has any problem; never NULL."""
-    return reduce(Column.__or__, [test for _, test in _problems()])
+    unread = [F.col("parse_error").isNotNull()] if "parse_error" in report.columns else []
+    return reduce(Column.__or__, unread + [test for _, test in _problems()])
 
 
-def _reason() -> Column:
+def _reason(report: DataFrame) -> Column:
     """The first problem of a row, NULL if it has none."""
-    return F.coalesce(*[F.when(test, F.lit(name)) for name, test in _problems()])
+    unread = [F.col("parse_error")] if "parse_error" in report.columns else []
+    return F.coalesce(*unread, *[F.when(test, F.lit(name)) for name, test in _problems()])
 
 
 def _staged_values(inserted_at: Column | None) -> list[Column]:
@@ -123,22 +125,22 @@ def stage_report(report: DataFrame, inserted_at: Column | None = None,
     """Renamed report rows to the 21-column staged table, pending rows dropped.
 
     Rows that cannot be loaded are left to ``stage_rejects``, or fail the job if
-    ``strict``.
+    ``strict``. A ``parse_error`` column, as archives have one, counts as a problem.
     """
     kept = ~F.col("status").eqNullSafe(PENDING)
     if strict:
         # One expression: as a filter of its own, the status test could run first.
-        problem = F.concat(F.lit("report row: "), _reason())
-        test = F.when(~_is_bad(), kept).otherwise(F.raise_error(problem).cast("boolean"))
+        problem = F.concat(F.lit("report row: "), _reason(report))
+        test = F.when(~_is_bad(report), kept).otherwise(F.raise_error(problem).cast("boolean"))
     else:
-        test = ~_is_bad() & kept
+        test = ~_is_bad(report) & kept
     return _converted(report).filter(test).select(*_staged_values(inserted_at))
 
 
 def stage_rejects(report: DataFrame) -> DataFrame:
     """Rows that cannot be loaded, as they came, with the first reason."""
-    return (_converted(report).filter(_is_bad())
-            .select(*report.columns, _reason().alias("reject_reason")))
+    return (_converted(report).filter(_is_bad(report))
+            .select(*report.columns, _reason(report).alias("reject_reason")))
 
 
 def staged_or_rejected(report: DataFrame, inserted_at: Column | None = None) -> DataFrame:
@@ -147,12 +149,12 @@ def staged_or_rejected(report: DataFrame, inserted_at: Column | None = None) ->
     A rejected row keeps its texts in ``report_row`` and has NULL staged columns.
     """
     texts = F.struct(*schemas.REPORT_COLUMNS.values())
-    outcome = _converted(report).select("*", _is_bad().alias("rejected")).filter(
+    outcome = _converted(report).select("*", _is_bad(report).alias("rejected")).filter(
         F.col("rejected") | ~F.col("status").eqNullSafe(PENDING))
     staged = F.struct(*_staged_values(inserted_at))
     chosen = outcome.select(
         F.when(~F.col("rejected"), staged).alias("staged"),
-        F.when(F.col("rejected"), _reason()).alias("reject_reason"),
+        F.when(F.col("rejected"), _reason(report)).alias("reject_reason"),
         F.when(F.col("rejected"), texts).alias("report_row"), "rejected")
     return chosen.select("staged.*", "reject_reason", "report_row", "rejected")
 

@@ -45,7 +45,8 @@ def expand_archives(archives: DataFrame, columns: tuple[str, ...] | list[str] |
     Columns are found by the header of each member: one that a member lacks is
     NULL there, one that is not asked for is dropped. Cells with a usual "no
     value" text are NULL. A row with too few fields is filled up with NULL; one
-    with too many is passed on with its texts unread and ``parse_error`` set.
+    with too many has NULL columns and stands in ``parse_error`` as it was.
+    ``row_no`` tells the rows of a member apart.
     ``archives`` needs ``path`` and ``content``.
     """
     wanted = list(REPORT_COLUMNS) if columns is None else list(columns)
@@ -109,7 +110,7 @@ def expand_archives(archives: DataFrame, columns: tuple[str, ...] | list[str] |
             def odd_rows():
                 nonlocal row_no
                 for expected, actual, text in odd:
-                    cells, error = {}, f"expected {expected} fields, saw {actual}"
+                    cells, error = {}, f"expected {expected} fields, saw {actual}: {text}"
                     if actual < expected:
                         fields = next(csv.reader([text], delimiter=separator), [])
                         fields += [""] * (expected - len(fields))

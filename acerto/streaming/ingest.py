@@ -17,12 +17,9 @@ from acerto.sources.tables import append_staged
 
 
 def stage_archives(archives: DataFrame, prefix: str = REPORT_MEMBER_PREFIX) -> DataFrame:
-    """Archives to staged and rejected rows, in one pass. Works on batches and streams.
-
-    A row with too many fields has no readable amount and is rejected as such.
-    """
+    """Archives to staged and rejected rows, in one pass. Works on batches and streams."""
     return (expand_archives(archives, prefix=prefix)
-            .drop("archive", "member", "row_no", "parse_error")
+            .drop("archive", "member", "row_no")
             .transform(staging.rename_columns)
             .transform(staging.staged_or_rejected))
 
