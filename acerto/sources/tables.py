@@ -41,13 +41,13 @@ def append_staged(outcomes: DataFrame, target: str) -> None:
 
 def read_staged(spark: SparkSession, target: str) -> DataFrame:
     """The 21 staged columns of the accepted rows."""
-    return (spark.read.parquet(target).filter("not rejected")
+    return (spark.read.parquet(target).filter("not cast(rejected as boolean)")
             .select(*schemas.STAGED_COLUMNS))
 
 
 def read_rejects(spark: SparkSession, target: str) -> DataFrame:
     """The rejected rows as they came, with the reason."""
-    return (spark.read.parquet(target).filter("rejected")
+    return (spark.read.parquet(target).filter("cast(rejected as boolean)")
             .select("report_row.*", "reject_reason"))
 
 

@@ -11,6 +11,7 @@ def spark():
     session = (SparkSession.builder.master("local[4]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.maxMetadataStringLength", "10000")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "4g").getOrCreate())
