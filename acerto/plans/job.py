@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acerto.config import ReconConfig
 from acerto.operators import jd as jd_side, ledger as ledger_side, match, report, staging
@@ -13,8 +17,31 @@ from acerto.streaming.ingest import ingest_new
 
 
 def curate(spark: SparkSession, raw: str, curated: str) -> None:
-    """Rebuild the curated provider table from the raw one."""
-    staging.curate_jd(tables.read_staged(spark, raw)).write.mode("overwrite").parquet(curated)
+    """Bring the curated provider table up to date with the raw one.
+
+    Only the report days that received rows since the last time are computed
+    again and replaced; copies of a row share its day, so dropping repeated rows
+    day by day misses none.
+    """
+    day = F.to_date("date_day")
+    staged = tables.read_staged(spark, raw).withColumn("report_day", day)
+    known = _last_loaded(spark, curated)
+    if known is not None:
+        touched = (staged.filter(F.col("inserted_at") > F.lit(known))
+                   .select(F.col("report_day").alias("touched_day")).distinct())
+        staged = staged.join(
+            touched, F.col("report_day").eqNullSafe(F.col("touched_day")), "left_semi")
+    (staging.curate_jd(staged).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("report_day").parquet(curated))
+
+
+def _last_loaded(spark: SparkSession, curated: str) -> datetime | None:
+    """Load time of the newest curated row; None without a table."""
+    try:
+        table = spark.read.parquet(curated)
+    except AnalysisException:
+        return None
+    return table.agg(F.max("inserted_at")).first()[0]
 
 
 def unmatched_detail(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,

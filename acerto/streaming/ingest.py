@@ -25,7 +25,11 @@ def stage_archives(archives: DataFrame, prefix: str = REPORT_MEMBER_PREFIX) -> D
 
 
 def ingest_batch(spark: SparkSession, folder: str, target: str) -> None:
-    """Append everything that lies in the folder now."""
+    """Append everything that lies in the folder now.
+
+    Use this or ``ingest_new`` for a table, not both: a table written by a stream
+    is read through the stream's commit log, which knows no other files.
+    """
     append_staged(stage_archives(list_archives(spark, folder)), target)
 
 

@@ -214,3 +214,25 @@ def test_whole_job(spark, tmp_path):
     detail = job.unmatched_detail(
         *[spark.read.parquet(path[n]) for n in ("ledger", "gateway", "curated")], config)
     assert [(r.end_to_end_id, r.source) for r in detail.collect()] == [("E2", "jd")]
+
+
+def test_curation_replaces_only_days_with_new_rows(spark, tmp_path):
+    folder, raw, curated = (str(tmp_path / n) for n in ("in", "raw", "curated"))
+
+    def load(name, *lines):
+        write_zip(folder, name, **{PREFIX: member(*lines)})
+        ingest.ingest_new(spark, folder, raw, str(tmp_path / "state")).awaitTermination()
+        job.curate(spark, raw, curated)
+        rows = sorted(r.end_to_end_id for r in spark.read.parquet(curated).collect())
+        return rows, {d: sorted(os.listdir(os.path.join(curated, d)))
+                      for d in os.listdir(curated) if d.startswith("report_day=")}
+
+    second_day = {"Data Hora": "02/06/2021 15:00:00.0"}
+    rows, before = load("a.zip", line("E1"), line("E2", **second_day),
+                        line("E3", **{"Data Hora": ""}))
+    assert rows == ["E1", "E2", "E3"] and len(before) == 3
+    rows, after = load("b.zip", line("E2", **second_day), line("E4", **second_day))
+    assert rows == ["E1", "E2", "E3", "E4"]
+    assert {d for d in after if after[d] != before[d]} == {"report_day=2021-06-02"}
+    rows, _ = load("c.zip", line("E5", **{"Data Hora": ""}))
+    assert rows == ["E1", "E2", "E3", "E4", "E5"]
