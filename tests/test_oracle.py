@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from acerto.plans.oracle import all_oracles
+from acerto.plans.queries import all_queries
 from check_oracle import difference, open_tables
 
 
@@ -12,10 +14,10 @@ def database(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert all_queries().keys() == all_oracles().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_same_as_sql(spark, database, sf_dir, name):
     assert difference(spark, database, sf_dir, name) is None
 
