@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, piece_tokens
 from .common import documents
 
 
@@ -14,8 +16,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir), keep="largest")
 
 
+def op5_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_tokens.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "differ")
+
+
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_exact_dedup]
+    found = [op4_exact_dedup, op5_piece_tokens]
     return {query.__name__: query for query in found}
 
 
