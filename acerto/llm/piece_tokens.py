@@ -27,6 +27,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from .common import slices
+
 MARK = "▁"
 _LONGEST_CACHED = 64
 _CACHED = 500_000
@@ -238,11 +240,3 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
 
     return rows.select(id_column, text_column).mapInArrow(
         work, f"`{id_column}` {id_type}, ids binary, decoded string, differ bigint")
-
-
-def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """`batch` in parts of about `size` bytes, at least one row each, to bound the memory of a step."""
-    rows = batch.num_rows
-    step = max(1, int(rows * size / max(batch.nbytes, 1)))
-    for start in range(0, rows, step):
-        yield batch.slice(start, step)

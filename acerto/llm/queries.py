@@ -8,10 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, piece_tokens
+from . import exact_dedup, licenses, piece_tokens
 from .common import documents
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    base = F.filter("places", lambda p: p.kind == "base")
+    starts = F.transform(base, lambda p: p.word)
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    every = F.concat(F.transform("places", lambda p: p.label),
+                     F.flatten(F.transform("expressions", lambda e: e.labels)))
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(F.transform(base, lambda p: p.label)).alias("base_labels"), joined(every).alias("labels"),
+        "score", F.exists("expressions", lambda e: ~e.allowed).alias("forbidden"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir), keep="largest")
 
@@ -24,7 +41,7 @@ def op5_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_exact_dedup, op5_piece_tokens]
+    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens]
     return {query.__name__: query for query in found}
 
 
