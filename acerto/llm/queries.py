@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, piece_tokens
+from . import exact_dedup, licenses, mixing, piece_tokens
 from .common import documents
 
 
@@ -40,10 +40,14 @@ def op5_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "differ")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens]
+    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens, op8_mixing]
     return {query.__name__: query for query in found}
 
 
 def text_oracles() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE}
+    return {"op4_exact_dedup": exact_dedup.ORACLE, "op8_mixing": mixing.ORACLE}
