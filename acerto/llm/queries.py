@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, piece_tokens
+from . import exact_dedup, licenses, mixing, piece_tokens, secrets
 from .common import documents
 
 
@@ -44,8 +44,22 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = [kind for kind, *_ in secrets.PATTERNS]
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda m: F.concat_ws(":", m.kind, m.start, m.end)), ",")
+
+    def of(*wanted):
+        return F.filter("spans", lambda m: m.kind.isin(*wanted))
+
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds),
+        F.sha2(listed(of(*kinds)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens, op8_mixing]
+    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens, op8_mixing, op9_secrets]
     return {query.__name__: query for query in found}
 
 
