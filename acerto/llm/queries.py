@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, piece_tokens, secrets
+from . import exact_dedup, licenses, mixing, piece_tokens, secrets, toxicity
 from .common import documents
 
 
@@ -40,6 +40,15 @@ def op5_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "differ")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = documents(spark, sf_dir)
+    model = toxicity.train(texts, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(texts, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -59,7 +68,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens, op8_mixing, op9_secrets]
+    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op8_mixing, op9_secrets]
     return {query.__name__: query for query in found}
 
 
