@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, piece_tokens, secrets, toxicity
+from . import exact_dedup, licenses, mixing, near_vectors, piece_tokens, secrets, toxicity
 from .common import documents
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(documents(spark, sf_dir))
     base = F.filter("places", lambda p: p.kind == "base")
@@ -68,7 +72,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op8_mixing, op9_secrets]
+    found = [op1_near_vectors, op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op8_mixing, op9_secrets]
     return {query.__name__: query for query in found}
 
 
