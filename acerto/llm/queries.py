@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, near_vectors, piece_tokens, secrets, toxicity
+from . import exact_dedup, licenses, mixing, near_ngrams, near_vectors, piece_tokens, secrets, toxicity
 from .common import documents
 
 
@@ -53,6 +53,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"))
 
 
+def op7_near_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_ngrams.jaccard_join(documents(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -72,7 +76,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_near_vectors, op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op8_mixing, op9_secrets]
+    found = [op1_near_vectors, op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets]
     return {query.__name__: query for query in found}
 
 
