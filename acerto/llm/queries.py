@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, near_ngrams, near_vectors, piece_tokens, secrets, toxicity
+from . import exact_dedup, language, licenses, mixing, near_ngrams, near_vectors, piece_tokens, secrets, toxicity
 from .common import documents
 
 
@@ -75,8 +75,22 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(of(*kinds)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages, whose rows share the model and the counts."""
+    none = F.lit(None).cast("string")
+    docs = documents(spark, sf_dir).select(
+        "doc_id", F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("declared"),
+        F.col("source").alias("host"), F.col("source").alias("domain"), none.alias("suffix"))
+    pages = language.page_columns(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumn(
+        "doc_id", F.lit(None).cast("long"))
+    rows = docs.unionByName(pages)
+    found = language.identify(rows, language.train(rows, "text", "declared"),
+                              *(F.col(c) for c in ("text", "declared", "host", "domain", "suffix")))
+    return found.select("doc_id", "page_id", "language", "probability", F.col("accepted").alias("kept"))
+
+
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_near_vectors, op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets]
+    found = [op1_near_vectors, op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets, op10_language]
     return {query.__name__: query for query in found}
 
 
