@@ -24,6 +24,7 @@ from .common import sampled, slices, written
 _CELLS = 1 << 16
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
+_LETTERS = np.array([b == 32 or 97 <= b <= 122 or b >= 128 for b in range(256)])  # after lower-casing
 
 
 @dataclass(frozen=True)
@@ -35,14 +36,15 @@ class Model:
 
 
 def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the byte trigrams of all texts, end to end, and where each text's begin."""
+    """Cells of the byte trigrams of letters and spaces, all texts end to end, and where each text's begin."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = _LOWER[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]]
     offsets = offsets - offsets[0]
     cells = ((data[:-2] * 961 + data[1:-1] * 31 + data[2:]) * np.uint32(2654435769)) >> np.uint32(16) \
         if len(data) > 2 else np.empty(0, np.uint32)
-    inside = np.ones(len(cells), bool)  # trigrams across two texts do not count
+    letters = _LETTERS[data]
+    inside = (letters[:-2] & letters[1:-1] & letters[2:])[:len(cells)]  # and trigrams across two texts do not count
     for back in (1, 2):
         cut = offsets[1:-1] - back
         inside[cut[(cut >= 0) & (cut < len(cells))]] = False
@@ -117,9 +119,9 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     """`rows` with language, probability, accepted.
 
     `text`, `declared`, `host`, `domain` and `suffix` are the evidence, any of them null where there is none;
-    the declared language counts by its part before "-" or "_". A row is accepted if its text has a trigram,
-    its language is not "und" and its probability at least `least`. Rows with null or empty
-    texts are not accepted; their language is what the other evidence says. Ties go to the first language in
+    the declared language counts by its part before "-" or "_". A row is accepted if its text has more than
+    white space, its language is not "und" and its probability at least `least`. Rows with null or empty texts
+    are not accepted; their language is what the other evidence says. Ties go to the first language in
     the alphabet. Repeated rows each get their row; an empty table gives an empty result; all other
     columns stay, except that they may not begin with "_" or be named text_score.
 
@@ -131,7 +133,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     clean = F.regexp_extract(F.lower(F.coalesce(declared, F.lit(""))), "^([a-z]+)", 1)
     names = F.array(*map(F.lit, languages))
     prepared = rows.select(
-        "*", F.coalesce(text, F.lit("")).alias("_text"),
+        "*", F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(F.rlike(text, F.lit(r"\S")), F.lit(False)).alias("_filled"),
         F.when(clean == "", None).when(clean.isin(*languages), clean).otherwise("other").alias("_declared"),
         F.coalesce(F.lower(host), F.lit("")).alias("_host"), F.coalesce(F.lower(domain), F.lit("")).alias("_domain"),
         F.coalesce(F.lower(suffix), F.lit("")).alias("_suffix"))
@@ -178,7 +180,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
               .withColumn("language", F.get(names, _best(F.col("_posterior")) - 1))
               .withColumn("probability", 1 / F.aggregate(
                   "_posterior", F.lit(0.0), lambda total, x: total + F.exp(x - F.col("_top")))))
-    accepted = F.col("text_score").isNotNull() & (F.col("language") != "und") & (F.col("probability") >= least)
+    accepted = F.col("_filled") & (F.col("language") != "und") & (F.col("probability") >= least)
     return joined.select(*rows.columns, "language", "probability", accepted.alias("accepted"))
 
 

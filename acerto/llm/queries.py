@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, licenses, mixing, near_ngrams, near_vectors, piece_tokens, secrets, toxicity
+from . import exact_dedup, language, licenses, mixing, near_ngrams, near_vectors, pii, piece_tokens, secrets, toxicity
 from .common import documents
 
 
@@ -33,6 +33,23 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", F.exists("expressions", lambda e: ~e.allowed).alias("forbidden"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def of(kind):
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    every = F.flatten(F.array(*(F.array_sort(F.filter(F.concat("base", "added"), _is(kind))) for kind in pii.KINDS)))
+    return pii.scan(documents(spark, sf_dir)).select(
+        "doc_id", *map(of, pii.KINDS), F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(every).alias("spans"))
+
+
+def _is(kind: str):
+    return lambda span: span.kind == kind
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir), keep="largest")
 
@@ -90,7 +107,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_near_vectors, op2_licenses, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets, op10_language]
+    found = [op1_near_vectors, op2_licenses, op3_pii, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets, op10_language]
     return {query.__name__: query for query in found}
 
 
