@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from .common import sampled, slices, written
 
@@ -91,8 +92,8 @@ def _scored(rows: DataFrame, model: Model, most_trigrams: int) -> DataFrame:
                 lists = pa.array([row if n else None for row, n in zip(scores.tolist(), counts)], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "text_score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(work, f"{schema}, text_score array<double>")
+    return rows.mapInArrow(work, StructType(
+        [*rows.schema.fields, StructField("text_score", ArrayType(DoubleType()))]))
 
 
 def _best(scores: Column) -> Column:
@@ -114,16 +115,16 @@ def _logs(counts: Column, prior: Column, weight: float) -> Column:
 
 
 def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host: Column, domain: Column,
-             suffix: Column, *, most_trigrams: int = 60, host_weight: float = 20.0, least: float = 0.5
-             ) -> DataFrame:
-    """`rows` with language, probability, accepted.
+             suffix: Column, *, most_trigrams: int = 60, host_weight: float = 20.0, least: float = 0.5,
+             only_accepted: bool = False) -> DataFrame:
+    """`rows` with language, probability, accepted; or, `only_accepted`, the accepted rows as they are.
 
     `text`, `declared`, `host`, `domain` and `suffix` are the evidence, any of them null where there is none;
     the declared language counts by its part before "-" or "_". A row is accepted if its text has more than
     white space, its language is not "und" and its probability at least `least`. Rows with null or empty texts
     are not accepted; their language is what the other evidence says. Ties go to the first language in
     the alphabet. Repeated rows each get their row; an empty table gives an empty result; all other
-    columns stay, except that they may not begin with "_" or be named text_score.
+    columns stay, whatever their names.
 
     The text is read twice, for the counts and for the result. The counts are one row for each host,
     domain and suffix; hosts are joined by Spark's choice, with hot ones split by adaptive execution.
@@ -133,7 +134,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     clean = F.regexp_extract(F.lower(F.coalesce(declared, F.lit(""))), "^([a-z]+)", 1)
     names = F.array(*map(F.lit, languages))
     prepared = rows.select(
-        "*", F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(F.rlike(text, F.lit(r"\S")), F.lit(False)).alias("_filled"),
+        F.struct(*rows.columns).alias("_row"), F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(F.rlike(text, F.lit(r"\S")), F.lit(False)).alias("_filled"),
         F.when(clean == "", None).when(clean.isin(*languages), clean).otherwise("other").alias("_declared"),
         F.coalesce(F.lower(host), F.lit("")).alias("_host"), F.coalesce(F.lower(domain), F.lit("")).alias("_domain"),
         F.coalesce(F.lower(suffix), F.lit("")).alias("_suffix"))
@@ -181,7 +182,9 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
               .withColumn("probability", 1 / F.aggregate(
                   "_posterior", F.lit(0.0), lambda total, x: total + F.exp(x - F.col("_top")))))
     accepted = F.col("_filled") & (F.col("language") != "und") & (F.col("probability") >= least)
-    return joined.select(*rows.columns, "language", "probability", accepted.alias("accepted"))
+    if only_accepted:
+        return joined.where(accepted).select("_row.*")
+    return joined.select("_row.*", "language", "probability", accepted.alias("accepted"))
 
 
 def of_documents(docs: DataFrame, **options) -> DataFrame:

@@ -23,33 +23,35 @@ MOST_BROADCAST = 1_000_000
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """`docs` without the rows that agree with one of `dropped` in all its columns, nulls too."""
+    """`docs` (with the row itself in _row) without those that agree with one of `dropped` in all its
+    columns, nulls too."""
     dropped = written(dropped.distinct(), "pipeline-dropped")
     if dropped.count() <= MOST_BROADCAST:
         dropped = F.broadcast(dropped)
     same = F.lit(True)
     for column in dropped.columns:
         same = same & docs[column].eqNullSafe(dropped[column])
-    return docs.join(dropped, same, "left_anti")
+    return docs.join(dropped, same, "left_anti").select("_row.*")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those without text or in no known language go."""
-    return language.of_documents(docs).where("accepted").select(*docs.columns)
+    return language.of_documents(docs, only_accepted=True)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id; rows without a text are equal to empty ones."""
     found = exact_dedup.deduplicate(docs, keep="largest")
     digest = F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256)
-    return _without(docs.withColumn("text_sha256", digest),
-                    found.where("not kept").select("doc_id", "text_sha256")).select(*docs.columns)
+    return _without(docs.select(F.struct("*").alias("_row"), "doc_id", digest.alias("text_sha256")),
+                    found.where("not kept").select("doc_id", "text_sha256"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked texts, the document with the smallest id. Rows that share an id go together."""
     found = near_ngrams.jaccard_join(docs)
-    return _without(docs, found.where("doc_id <> component_id").select("doc_id"))
+    return _without(docs.select(F.struct("*").alias("_row"), "doc_id"),
+                    found.where("doc_id <> component_id").select("doc_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +63,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
              .where("taken > 0")
              .select(F.col("doc_id").alias("mixed_id"),
                      F.greatest(F.lit(1), F.round(F.col("taken") / F.col("size"))).cast("int").alias("times")))
-    return (docs.join(taken, docs["doc_id"].eqNullSafe(taken["mixed_id"]))
-            .withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns))
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id")
+    return (rows.join(taken, rows["doc_id"].eqNullSafe(taken["mixed_id"]))
+            .select("_row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("_row.*"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
