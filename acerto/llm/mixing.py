@@ -50,7 +50,7 @@ def _targets(sizes: DataFrame, weights: tuple[int, ...], percent: int, cap: int)
     rest = F.col("total") - F.coalesce(F.sum(F.when(F.col("full"), F.col("most"))).over(every), F.lit(0))
     rest_weight = F.sum(F.when(~F.col("full"), F.col("weight"))).over(every)
     target = F.when(F.col("full"), F.col("most").cast("double")).otherwise(
-        F.least(F.col("most").cast("double"), rest / rest_weight * F.col("weight")))
+        F.least(F.col("most").cast("double"), F.try_divide(rest, rest_weight) * F.col("weight")))
     return filled.withColumn("target", target)
 
 
@@ -99,7 +99,7 @@ def mix(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     length = F.greatest(F.lit(1), F.least(F.lit(block), F.expr(f"source_size div {_SHORTEST}"))).cast("long")
     line = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    end = F.sum("wanted").over(line) / F.sum("wanted").over(every) * (1 << _RESOLUTION)
+    end = F.try_divide(F.sum("wanted").over(line), F.sum("wanted").over(every)) * (1 << _RESOLUTION)
     sources = written(
         _targets(sizes, weights, percent, cap).withColumn("length", length)
         .withColumn("blocks", F.expr("(source_size + length - 1) div length"))

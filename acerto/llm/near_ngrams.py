@@ -185,8 +185,17 @@ def _sets(rows: DataFrame, id_type: str, size: int) -> DataFrame:
     return rows.select("id", "text").mapInArrow(work, f"class {id_type}, hashes array<bigint>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, id_type: str, percent: int) -> DataFrame:
-    """Those of `pairs` (left, right) whose sets have at least `percent` % in common."""
+def _broadcast(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """`df`, which has at most `rows` rows, sent to all tasks if these are no more than `most`."""
+    return F.broadcast(df) if rows <= most else df
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, id_type: str, size: int, percent: int, most: int) -> DataFrame:
+    """Those of `pairs` (left, right) whose sets have at least `percent` % in common.
+
+    Only the texts of documents in `pairs` are cut into shingles; the sets of the left ones travel
+    once for each pair, those of the right ones once.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
@@ -201,13 +210,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, id_type: str, percent: int) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["left", "right"]) \
                 .filter(pa.array(keep))
 
-    both = (pairs.join(sets.select(F.col("class").alias("left"), F.col("hashes").alias("a")), "left")
-            .join(sets.select(F.col("class").alias("right"), F.col("hashes").alias("b")), "right"))
-    return both.select("left", "right", "a", "b").mapInArrow(work, f"left {id_type}, right {id_type}")
+    pairs = written(pairs, "ngram-pairs")
+    count = pairs.count()
+
+    def sets(side: str) -> DataFrame:
+        ids = pairs.select(F.col(side).alias("id")).distinct()
+        return _sets(texts.join(_broadcast(ids, count, most), "id", "left_semi"), id_type, size)
+
+    left = sets("left").select(F.col("class").alias("left"), F.col("hashes").alias("a"))
+    right = sets("right").select(F.col("class").alias("right"), F.col("hashes").alias("b"))
+    both = left.join(_broadcast(pairs, count, most), "left").join(right, "right")
+    return checkpointed(both.select("left", "right", "a", "b").mapInArrow(work, f"left {id_type}, right {id_type}"))
+
+
+def _possible(entries: DataFrame, percent: int) -> DataFrame:
+    """The pairs of `entries` (x, y: class, n, place in a common list) that can have enough in common.
+
+    After the last common shingle of two prefixes, at places i and j, at most the smaller rest
+    of both sets is common, beside the shingles common so far.
+    """
+    low, high = F.when(F.col("x.class") < F.col("y.class"), F.col("x")).otherwise(F.col("y")), F.when(
+        F.col("x.class") < F.col("y.class"), F.col("y")).otherwise(F.col("x"))
+    pairs = (entries.where("x.class <> y.class")
+             .where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+             .select(low.alias("low"), high.alias("high"))
+             .groupBy(F.col("low.class").alias("left"), F.col("high.class").alias("right"), F.col("low.n").alias("m"),
+                      F.col("high.n").alias("n"))
+             .agg(F.count("*").alias("common"), F.max("low.place").alias("i"), F.max("high.place").alias("j")))
+    return pairs.where(f"{100 + percent} * (common + least(m - i, n - j) - 1) >= {percent} * (m + n)").select("left", "right")
 
 
 def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, size: int = 5,
-                 percent: int = 80, sketch_bits: int = 18, broadcast_ids: int = 2_000_000) -> DataFrame:
+                 percent: int = 80, sketch_bits: int = 18, most_broadcast: int = 2_000_000) -> DataFrame:
     """One row for each row of `rows`: its id, n_shingles, component_id.
 
     A set are the distinct shingles of `size` words (white space cuts words, A-Z are lower-cased);
@@ -218,7 +252,7 @@ def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str =
     empty result; other columns are ignored.
 
     `sketch_bits` bounds the table that orders shingles (it changes the work, never the result). Ids
-    of classes to verify are broadcast up to `broadcast_ids`; beyond, texts are joined by shuffle.
+    and pairs to verify are broadcast up to `most_broadcast` rows; beyond, they are joined by shuffle.
     """
     id_type = rows.schema[id_column].dataType.simpleString()
     texts = rows.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
@@ -229,58 +263,59 @@ def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str =
     classes = written(found.join(groups, ["n", "prefix_key"]), "ngram-classes")
     members = classes.select("class", "group", "n")
 
+    others = written(signed.where("n > 0").select("id", "n", "prefix_key").join(
+        groups.withColumnRenamed("group", "id"), ["id", "n", "prefix_key"], "left_anti").select("id", "n").distinct(),
+        "ngram-others")  # all but the one document of each group that stands for it
+    others = _broadcast(others, others.count(), most_broadcast)
     salt = F.pmod(F.xxhash64("group"), F.col("entry.salts")).alias("salt")
     in_list = Window.partitionBy("token", "salt").orderBy("n", "group")
-    lists = (signed.join(members.where("class = group").select(F.col("group").alias("id"), "n"), ["id", "n"], "left_semi")
+    entry = F.struct(F.col("group").alias("class"), "n", "place")
+    lists = (signed.where("n > 0").join(others, ["id", "n"], "left_anti")
              .select(F.col("id").alias("group"), "n",
                      F.posexplode(F.arrays_zip("prefix", "salts")).alias("place", "entry"))
-             .select("group", "n", "place", F.col("entry.prefix").alias("token"), salt)
-             .withColumn("before", F.lag("group").over(in_list)).withColumn("before_n", F.lag("n").over(in_list))
-             .withColumn("after", F.lead("group").over(in_list)))
+             .select("group", "n", "place", F.col("entry.prefix").alias("token"), salt,
+                     (F.col("entry.salts") > 1).alias("cut"))
+             .withColumn("before", F.lag(entry).over(in_list)).withColumn("after", F.lead("group").over(in_list)))
     crowded = members.where("class <> group").select("group").distinct().withColumn("crowded", F.lit(True))
     shared = written(
         lists.join(crowded, "group", "left")
-        .where("before is not null or after is not null or salt > 0 or (crowded and place = 0)")
-        .select("token", "group", "n", "place", "before", "before_n"), "ngram-lists")
-    pairs = (shared.where(f"100 * before_n >= {percent} * n").select(F.col("before").alias("left"), F.col("group").alias("right"))
-             .unionByName(members.where("class <> group").select(F.col("group").alias("left"), F.col("class").alias("right"))))
-    active = written(shared.select("group").distinct().join(members, "group").select(F.col("class").alias("id")), "ngram-active")
-    chosen = texts.join(F.broadcast(active) if active.count() <= broadcast_ids else active, "id", "left_semi")
-    sets = written(_sets(chosen, id_type, size), "ngram-sets")
+        .where("before is not null or after is not null or cut or (crowded and place = 0)")
+        .select("token", "group", "n", "place", "before"), "ngram-lists")
 
-    def verified(candidates: DataFrame) -> DataFrame:
-        candidates = candidates.select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right"))
-        return checkpointed(_verified(candidates.distinct(), sets, id_type, percent))
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verified(pairs, texts, id_type, size, percent, most_broadcast)
 
-    links = verified(pairs)
-    entries = shared.select("token", "group", "n", "place").join(members.select("group", "class"), "group")
+    inside = members.where("class <> group").select(F.col("group").alias("left"), F.col("class").alias("right"))
+    neighbours = shared.where("before is not null").select(entry.alias("x"), F.col("before").alias("y"))
+    links = verified(_possible(neighbours, percent).unionByName(inside).distinct())
+    entries = shared.select("token", "group", "n", "place").join(members.select("group", "class"), "group").select(
+        "token", F.struct("class", "n", "place").alias("entry"))
 
     def labelled(links: DataFrame) -> DataFrame:
         """Lists of shingles that more than one component has, with the component of each entry."""
-        found = components(links).withColumnRenamed("node", "class")
-        placed = (entries.join(found, "class", "left")
-                  .withColumn("component", F.coalesce("component", "class")))
-        mixed_lists = placed.groupBy("token").agg(
+        found = components(links)
+        placed = (entries.join(found, F.col("entry.class") == F.col("node"), "left")
+                  .select("token", "entry", F.coalesce("component", "entry.class").alias("component")))
+        several = placed.groupBy("token").agg(
             F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-        return written(placed.join(mixed_lists, "token", "left_semi"), "ngram-mixed")
+        return written(placed.join(several, "token", "left_semi"), "ngram-mixed")
 
     one = labelled(links).groupBy("token", "component").agg(
-        F.min_by(F.struct("class", "n"), F.struct("n", "class")).alias("first")).select("token", "first.*")
-    in_list = Window.partitionBy("token").orderBy("n", "class")
-    links = links.unionByName(verified(
-        one.withColumn("left", F.lag("class").over(in_list)).withColumn("before_n", F.lag("n").over(in_list))
-        .where(f"100 * before_n >= {percent} * n").select("left", F.col("class").alias("right"))))
+        F.min_by("entry", F.struct("entry.n", "entry.class")).alias("x"))
+    in_list = Window.partitionBy("token").orderBy("x.n", "x.class")
+    links = links.unionByName(verified(_possible(
+        one.withColumn("y", F.lag("x").over(in_list)).where("y is not null").select("x", "y"), percent)))
 
     rest = labelled(links)
     largest = (rest.groupBy("token", "component").count().groupBy("token")
                .agg(F.max_by("component", F.struct("count", "component")).alias("largest")))
-    a, b = rest.join(largest, "token").where("component <> largest").alias("a"), rest.alias("b")
-    overlap = (F.least("a.place", "b.place") + 1
-               + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place")) - 1)
-    last = a.join(b, F.expr("a.token = b.token and a.component <> b.component"
-                            f" and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
-                  & ((100 + percent) * overlap >= percent * (F.col("a.n") + F.col("b.n"))))
-    links = links.unionByName(verified(last.select(F.col("a.class").alias("left"), F.col("b.class").alias("right"))))
+    small = rest.join(largest, "token").where("component <> largest").select(
+        "token", F.col("entry").alias("x"), F.col("component").alias("of_x"))
+    across = (small.join(rest.select("token", F.col("entry").alias("y"), F.col("component").alias("of_y")), "token")
+              .join(largest, "token")
+              .where("of_x <> of_y and (of_y = largest or x.class < y.class)")
+              .where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").select("x", "y"))
+    links = links.unionByName(verified(_possible(across, percent)))
 
     found = components(links).withColumnRenamed("node", "class")
     by_set = classes.join(found, "class", "left").select(*keys, F.coalesce("component", "class").alias("component"))

@@ -47,6 +47,11 @@ def estimates(codes: np.ndarray, factors: np.ndarray, turned: np.ndarray, sigmas
     return found, bound
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """`vectors` times powers of two, so that no square overflows; their cosines stay the same."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def tables_for(rows: int, threshold: float, bucket: int, miss: float) -> tuple[int, int]:
     """Signs of a key and number of tables for `rows` vectors."""
     signs = max(0, math.ceil(math.log2(max(rows, 1) / bucket)))
@@ -126,7 +131,7 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
                 size = int(size)
                 chosen = np.flatnonzero(sizes == size)
                 x = flat[starts[chosen][:, None] + np.arange(size)]
-                unit = x / np.abs(x).max(axis=1, keepdims=True)
+                unit = _scaled(x)
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 if size not in turns:
                     wanted = tables * signs
@@ -165,7 +170,7 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
         order = np.argsort(group["class"].to_numpy(), kind="stable")
         ids, copies = group["class"].to_numpy()[order], group["copies"].to_numpy()[order]
         blocks = group["block"].to_numpy()[order]
-        v = group["v"].combine_chunks().flatten().to_numpy().reshape(-1, size)[order]
+        v = _scaled(group["v"].combine_chunks().flatten().to_numpy().reshape(-1, size)[order])
         turned = ((v / np.linalg.norm(v, axis=1, keepdims=True)) @ rotation(size, seed).T).astype(np.float32)
         bits = np.frombuffer(b"".join(group["code"].to_pylist()), np.uint8).reshape(len(ids), -1)[order]
         code = np.unpackbits(bits, axis=1, count=size).astype(np.float32) * 2 - 1
