@@ -20,6 +20,7 @@ from .common import sampled
 _CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-"
 _START = len(_CHARACTERS)  # row of the table for the first character of a token
 _SIDE = _START + 1
+_BACKING = 5.0
 _TOKEN = "[A-Za-z0-9+/=_-]+"
 _WORD = "[A-Za-z][A-Za-z0-9_-]*"
 
@@ -91,18 +92,24 @@ def labelled_samples(rows: DataFrame, text_column: str = "text", sample_rows: in
 
 
 def train(samples: DataFrame) -> list[float]:
-    """For each cell, the log-likelihood ratio of random over ordinary, from add-one counts."""
-    counts = {False: [1] * _SIDE * _SIDE, True: [1] * _SIDE * _SIDE}
+    """For each cell, the log-likelihood ratio of random over ordinary.
+
+    A character's probability behind another is smoothed by its overall one, which counts as
+    `_BACKING` observations.
+    """
+    counts = {False: [0] * _SIDE * _SIDE, True: [0] * _SIDE * _SIDE}
     for row in (samples.where(F.length("token") > 0)
                 .select("is_random", F.explode(_cells(F.col("token"))).alias("cell"))
                 .groupBy("is_random", "cell").count().collect()):  # two models' cells at most
         counts[row.is_random][row.cell] += row["count"]
-    ratios = []
-    for row in range(0, _SIDE * _SIDE, _SIDE):
-        sums = {k: math.log(sum(c[row:row + _START])) for k, c in counts.items()}
-        ratios += [math.log(counts[True][i]) - sums[True] - math.log(counts[False][i]) + sums[False]
-                   for i in range(row, row + _SIDE)]
-    return ratios
+    logs = {}
+    for label, cells in counts.items():
+        overall = [0.1 + sum(cells[c::_SIDE]) for c in range(_SIDE)]
+        total = sum(overall)
+        logs[label] = [math.log((cells[i] + _BACKING * overall[i % _SIDE] / total)
+                                / (sum(cells[i - i % _SIDE:i - i % _SIDE + _SIDE]) + _BACKING))
+                       for i in range(_SIDE * _SIDE)]
+    return [a - b for a, b in zip(logs[True], logs[False])]
 
 
 def scan(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", *,
