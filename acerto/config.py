@@ -34,7 +34,7 @@ class ReconConfig:
     """What a deployment sets: dates, zone, ledger codes, accounts and links.
 
     ``as_of`` is the day of the run; everything reported ends the day before.
-    Left at None it is the session's current date.
+    Left at None it is the current date in ``zone``.
     """
 
     as_of: date | None = None
@@ -48,7 +48,9 @@ class ReconConfig:
     pix_out_link: str = ""
 
     def as_of_day(self) -> Column:
-        return F.current_date() if self.as_of is None else F.lit(self.as_of)
+        if self.as_of is not None:
+            return F.lit(self.as_of)
+        return F.to_date(F.convert_timezone(None, F.lit(self.zone), F.localtimestamp()))
 
     def yesterday(self) -> Column:
         return F.date_sub(self.as_of_day(), 1)

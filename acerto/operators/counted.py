@@ -18,18 +18,17 @@ def collapse(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def _repeat(df: DataFrame, times: str) -> DataFrame:
-    return (df.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times))))
-            .drop("_n", times))
-
-
 def replicate(df: DataFrame, chunk: int = _CHUNK) -> DataFrame:
-    """Undo ``collapse``. Rows with very many copies are cut into chunks and spread first."""
-    many = F.col(COPIES) > chunk
-    usual = df.filter(~many).transform(_repeat, COPIES)
+    """Undo ``collapse``.
+
+    Every row is cut into chunks of its copies (one for nearly all), the chunks are spread by row and
+    number, and each is repeated where it lands. The number of partitions is given, so that adaptive
+    execution does not merge the few chunks before they grow.
+    """
     last = F.expr(f"({COPIES} - 1) div {chunk}")
-    cut = (df.filter(many)
-           .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    cut = (df.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
            .withColumn(COPIES, F.least(F.lit(chunk), F.col(COPIES) - F.col("_part") * chunk)))
-    spread = cut.repartition("_part").drop("_part").transform(_repeat, COPIES)
-    return usual.unionByName(spread)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cut.repartition(partitions, *[F.col(f"`{name}`") for name in cut.columns])
+    return (spread.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES))))
+            .drop("_n", "_part", COPIES))

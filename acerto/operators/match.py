@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acerto.config import CORRECTION, MISMATCH, REVIEW, SOURCE_JD, SOURCE_LEDGER
+from acerto.config import CORRECTION, INTERNAL_TRANSFER, MISMATCH, REVIEW, SOURCE_JD, SOURCE_LEDGER
 from acerto.operators.counted import COPIES, collapse, replicate
 
 _SIDE_COLUMNS = ("date_day", "end_to_end_id", "operation", "amount", "pix_key", "source")
@@ -26,36 +26,40 @@ def classify(ledger_day: Column, jd_day: Column, ledger_key: Column, jd_key: Col
             .otherwise(F.lit(REVIEW)))
 
 
-def _one_side(counted: DataFrame, prefix: str) -> DataFrame:
-    columns = [F.col(name).alias(f"{prefix}_{name}") for name in counted.columns]
-    return counted.select(F.coalesce("pix_key", F.lit("")).alias("_key"),
-                          F.col("date_day").alias("_day"), *columns)
+def _one_side(counted: DataFrame) -> DataFrame:
+    return counted.select(F.coalesce("pix_key", F.lit("")).alias("_key"), F.col("date_day").alias("_day"),
+                          *counted.columns)
+
+
+def _without_partner(side: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows of ``side`` whose key and day ``other`` does not have.
+
+    The other side comes as one row per key, so a hot key only makes the probing side large,
+    which adaptive execution splits. The sum keeps the counts in use on both
+    ways, so that both share the shuffles below.
+    """
+    keys = (other.groupBy("_key", "_day").agg(F.sum(COPIES).alias("n")).filter("n > 0")
+            .select("_key", "_day"))
+    return side.join(keys, ["_key", "_day"], "left_anti").select(
+        *[name for name in UNMATCHED_COLUMNS if name != "mismatch_classification"], "_key", COPIES)
 
 
 def unmatched_counted(ledger_net: DataFrame, jd: DataFrame) -> DataFrame:
     """Rows of either side whose key does not occur on the other, with ``copies``.
 
-    ``ledger_net`` comes counted from ``ledger.net_refunds_counted``. Counting
-    both sides first leaves a handful of rows per key, so a key repeated on
-    both sides does not multiply in the full outer join.
+    ``ledger_net`` comes counted from ``ledger.net_refunds_counted``. An internal
+    transfer of the ledger is no mismatch.
     """
-    ledger = _one_side(ledger_net.select(*_SIDE_COLUMNS, "tx_key", COPIES), "ledger")
-    other = _one_side(
-        collapse(jd.select(*_SIDE_COLUMNS, "tx_key")), "jd")
-    joined = ledger.join(
-        other, (ledger["_key"] == other["_key"]) & (ledger["_day"] == other["_day"]),
-        "full_outer")
-    merged = [F.coalesce(f"ledger_{name}", f"jd_{name}").alias(name)
-              for name in UNMATCHED_COLUMNS if name != "mismatch_classification"]
-    # The source is a constant on each side, so it tells whether a side is present.
-    one_sided = F.col("ledger_source").isNull() | F.col("jd_source").isNull()
-    internal = F.col("ledger_operation") == "pix_internal_transfer"
-    return (joined.filter(one_sided & (~internal | F.col("ledger_operation").isNull()))
-            .select(*merged,
-                    classify(F.col("ledger_date_day"), F.col("jd_date_day"),
-                             F.col("ledger_pix_key"), F.col("jd_pix_key"))
-                    .alias("mismatch_classification"),
-                    F.coalesce(f"ledger_{COPIES}", f"jd_{COPIES}").alias(COPIES)))
+    ledger = _one_side(ledger_net.select(*_SIDE_COLUMNS, "tx_key", COPIES))
+    other = _one_side(collapse(jd.select(*_SIDE_COLUMNS, "tx_key")))
+    internal = F.col("operation") == INTERNAL_TRANSFER
+    missing_day, missing_key = F.lit(None).cast("date"), F.lit(None).cast("string")
+    of_ledger = (_without_partner(ledger, other).filter(~internal | F.col("operation").isNull())
+                 .withColumn("mismatch_classification", classify(
+                     F.col("date_day"), missing_day, F.col("pix_key"), missing_key)))
+    of_other = _without_partner(other, ledger).withColumn("mismatch_classification", classify(
+        missing_day, F.col("date_day"), missing_key, F.col("pix_key")))
+    return of_ledger.unionByName(of_other).select(*UNMATCHED_COLUMNS, COPIES)
 
 
 def unmatched_transactions(ledger_net: DataFrame, jd: DataFrame) -> DataFrame:
@@ -89,12 +93,13 @@ def corrections_intended(unmatched: DataFrame) -> DataFrame:
     operation. Runs take up consecutive positions; where a ledger run and a
     provider run overlap there are that many pairs. A sweep over the positions
     at which runs begin finds the overlaps without pairing runs with each other,
-    and all steps share one shuffle on the key.
+    and all steps share one shuffle on the key. A key has at most one run per day,
+    operation and amount and side there, whatever its number of rows.
     """
     runs = (unmatched.filter(F.col("pix_key").isNotNull() & F.col("date_day").isNotNull())
+            .repartition("pix_key")
             .groupBy("pix_key", "source", "date_day", "operation", "amount")
-            .agg(F.sum(COPIES).alias(COPIES))
-            .repartition("pix_key"))
+            .agg(F.sum(COPIES).alias(COPIES)))
     in_order = (W.partitionBy("pix_key", "source")
                 .orderBy("date_day", "operation", "amount")
                 .rowsBetween(W.unboundedPreceding, W.currentRow))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,32 +13,32 @@ from acerto.sources import tables
 from acerto.streaming.ingest import ingest_new
 
 
-def curate(spark: SparkSession, raw: str, curated: str) -> None:
+def curate(spark: SparkSession, raw: str, curated: str, progress: str | None = None) -> None:
     """Bring the curated provider table up to date with the raw one.
 
-    Only the report days that received rows since the last time are computed
-    again and replaced; copies of a row share its day, so dropping repeated rows
-    day by day misses none.
+    A stream over the raw table's files tells what is new, whatever its load time; its checkpoint
+    ``progress`` (beside ``curated`` by default) is written after the data. Only the report days that
+    received rows are computed again, from all their rows, and replaced; doing so twice gives the same,
+    so a run that dies halfway is made good by the next.
     """
-    day = F.to_date("date_day")
-    staged = tables.read_staged(spark, raw).withColumn("report_day", day)
-    known = _last_loaded(spark, curated)
-    if known is not None:
-        touched = (staged.filter(F.col("inserted_at") > F.lit(known))
-                   .select(F.col("report_day").alias("touched_day")).distinct())
+    def replace(batch: DataFrame, _: int) -> None:
+        touched = (batch.filter("not cast(rejected as boolean)")
+                   .select(F.to_date("date_day").alias("touched_day")).distinct())
+        if touched.isEmpty():
+            return
+        session = batch.sparkSession
+        staged = tables.read_staged(session, raw).withColumn("report_day", F.to_date("date_day"))
         staged = staged.join(
             touched, F.col("report_day").eqNullSafe(F.col("touched_day")), "left_semi")
-    (staging.curate_jd(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("report_day").parquet(curated))
-
+        # Files are made up per day; a large day gets several.
+        (staging.curate_jd(staged).hint("rebalance", "report_day").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("report_day").parquet(curated))
 
-def _last_loaded(spark: SparkSession, curated: str) -> datetime | None:
-    """Load time of the newest curated row; None without a table."""
-    try:
-        table = spark.read.parquet(curated)
-    except AnalysisException:
-        return None
-    return table.agg(F.max("inserted_at")).first()[0]
+    schema = spark.read.parquet(raw).schema
+    query = (spark.readStream.schema(schema).parquet(raw).writeStream.foreachBatch(replace)
+             .option("checkpointLocation", progress or f"{curated.rstrip('/')}_progress")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
 def unmatched_detail(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
@@ -56,10 +53,10 @@ def unmatched_detail(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
 def run(spark: SparkSession, config: ReconConfig, folder: str, raw: str, checkpoint: str,
         curated: str, ledger: str, gateway: str, daily: str, reports: str,
         done_folder: str | None = None) -> None:
-    """One run. Paths or table names; ``daily`` is replaced, ``reports`` is appended to.
+    """One run. ``ledger`` and ``gateway`` are paths or table names, all others paths.
 
-    The daily result is read back from its table for the report, so it is
-    computed once.
+    ``daily`` is replaced. ``reports`` has a partition for each report date, which another run for
+    the date replaces. The daily result is read back from its table for the report, so it is computed once.
     """
     ingest_new(spark, folder, raw, checkpoint, done_folder).awaitTermination()
     curate(spark, raw, curated)
@@ -68,4 +65,5 @@ def run(spark: SparkSession, config: ReconConfig, folder: str, raw: str, checkpo
         tables.scan_jd(spark, curated), config)
     result.write.mode("overwrite").parquet(daily)
     due = report.report_days(spark.read.parquet(daily), config)
-    tables.append_table(report.report_text(due, config), reports)
+    (report.report_text(due, config).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(reports))

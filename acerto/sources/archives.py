@@ -39,14 +39,18 @@ def member_schema(columns: tuple[str, ...] | list[str]) -> T.StructType:
 
 def expand_archives(archives: DataFrame, columns: tuple[str, ...] | list[str] | None = None,
                     prefix: str = REPORT_MEMBER_PREFIX, separator: str = ";",
-                    encoding: str = "utf8", block_bytes: int = 4 << 20) -> DataFrame:
+                    encoding: str = "utf8", block_bytes: int = 4 << 20,
+                    nested: bool = True) -> DataFrame:
     """Rows of all members whose name starts with ``prefix``.
 
     Columns are found by the header of each member: one that a member lacks is
     NULL there, one that is not asked for is dropped. Cells with a usual "no
     value" text are NULL. A row with too few fields is filled up with NULL; one
     with too many has NULL columns and stands in ``parse_error`` as it was.
-    ``row_no`` tells the rows of a member apart.
+    Empty lines before the header are skipped; of columns with the same header the first counts.
+    A member with an open quote, which would swallow its rest, gives one row with that error, and
+    so does an archive or member that cannot be read, after the rows read so far. Members inside folders
+    of the archive are read as well, unless ``nested`` is false. ``row_no`` tells the rows of a member apart.
     ``archives`` needs ``path`` and ``content``.
     """
     wanted = list(REPORT_COLUMNS) if columns is None else list(columns)
@@ -58,6 +62,7 @@ def expand_archives(archives: DataFrame, columns: tuple[str, ...] | list[str] |
         import csv
         import io
         import zipfile
+        import zlib
 
         import pyarrow as pa
         from pyarrow import csv as arrow_csv
@@ -77,11 +82,30 @@ def expand_archives(archives: DataFrame, columns: tuple[str, ...] | list[str] |
             return pa.RecordBatch.from_arrays(
                 arrays, schema=pa.schema(list(zip(names, types))))
 
+        def ends_in_quote(stream):
+            """An odd number of quotes is a hint; whether one stays open, a strict reader knows."""
+            quotes, source = 0, stream()
+            while block := source.read(block_bytes):
+                quotes += block.count(b'"')
+            if quotes % 2 == 0:
+                return False
+            try:
+                for _ in csv.reader(io.TextIOWrapper(stream(), encoding=encoding, newline=""),
+                                    delimiter=separator, strict=True):
+                    pass
+            except csv.Error as problem:
+                return "unexpected end of data" in str(problem)
+            return False
+
         def rows_of(archive, member, stream):
-            header = next(csv.reader(io.TextIOWrapper(stream(), encoding=encoding, newline=""),
-                                     delimiter=separator), None)
+            lines = csv.reader(io.TextIOWrapper(stream(), encoding=encoding, newline=""),
+                               delimiter=separator)
+            header = next((line for line in lines if line), None)
             if header is None:
                 return
+            if ends_in_quote(stream):
+                yield emit(archive, member, 0, 1, {}, "quote is never closed")
+                return
             if header and header[0].startswith("\ufeff"):
                 header[0] = header[0][1:]
             odd = []
@@ -116,29 +140,41 @@ def expand_archives(archives: DataFrame, columns: tuple[str, ...] | list[str] |
                         fields += [""] * (expected - len(fields))
                         cells = {name: pa.array([None if value in null_tokens else value],
                                                 pa.string())
-                                 for name, value in zip(header, fields)}
+                                 for name, value in reversed(list(zip(header, fields)))}
                         error = None
                     yield emit(archive, member, row_no, 1, cells, error)
                     row_no += 1
                 odd.clear()
 
             for batch in reader:
-                cells = {name: batch.column(i) for i, name in enumerate(batch.schema.names)
-                         if name in wanted}
+                cells = {}
+                for i, name in enumerate(batch.schema.names):
+                    if name in wanted:
+                        cells.setdefault(name, batch.column(i))
                 if batch.num_rows:
                     yield emit(archive, member, row_no, batch.num_rows, cells)
                 row_no += batch.num_rows
                 yield from odd_rows()
             yield from odd_rows()
 
-        for batch in batches:
-            for archive, content in zip(batch.column("path").to_pylist(),
-                                        batch.column("content")):
+        def members_of(archive, content):
+            member = None
+            try:
                 with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as zipped:
                     for info in zipped.infolist():
-                        member = info.filename.rsplit("/", 1)[-1]
-                        if not info.is_dir() and member.startswith(prefix):
+                        folder, _, name = info.filename.rpartition("/")
+                        if (nested or not folder) and not info.is_dir() and name.startswith(prefix):
+                            member = name
                             yield from rows_of(archive, member,
                                                lambda info=info: zipped.open(info))
+                            member = None
+            except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeError, pa.ArrowInvalid, csv.Error,
+                    NotImplementedError) as problem:
+                yield emit(archive, member, 0, 1, {}, f"unreadable: {type(problem).__name__}")
+
+        for batch in batches:
+            for archive, content in zip(batch.column("path").to_pylist(),
+                                        batch.column("content")):
+                yield from members_of(archive, content)
 
     return archives.select("path", "content").mapInArrow(unpack, schema)

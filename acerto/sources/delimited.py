@@ -14,13 +14,13 @@ from acerto.schemas import REPORT_COLUMNS, REPORT_SCHEMA
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | None = None,
                    separator: str = ";") -> DataFrame:
-    """Files that share one header, all text, split across tasks by Spark.
+    """Files that share one header, all text. Quoted cells may have line breaks, so a file is one task.
 
     Without ``columns`` the header of one file names them. Files whose header
     differs fail rather than shift; read those apart and use ``union_reports``.
     """
     reader = (spark.read.option("sep", separator).option("header", True)
-              .option("escape", '"').option("enforceSchema", False))
+              .option("escape", '"').option("enforceSchema", False).option("multiLine", True))
     if columns is None:
         found = reader.csv(path)
     else:

@@ -1,4 +1,4 @@
-"""Tables: scans of the reconciliation inputs, appends, SQL text, shared intermediate results."""
+"""Tables: scans of the reconciliation inputs, appends, SQL text."""
 
 from __future__ import annotations
 
@@ -54,17 +54,3 @@ def read_rejects(spark: SparkSession, target: str) -> DataFrame:
 def run_sql(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
     """Result of a query text over named DataFrames, written ``{name}`` in the text."""
     return spark.sql(text, **views)
-
-
-def materialize(df: DataFrame, fallback_folder: str | None = None) -> DataFrame:
-    """Compute once for several uses, in storage that outlives executors.
-
-    Uses the checkpoint folder the session names; ``fallback_folder`` only
-    where it names none.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        if fallback_folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(fallback_folder)
-    return df.checkpoint()

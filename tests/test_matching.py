@@ -284,3 +284,9 @@ def test_report_text(spark):
     assert "R$-0.07" in text and text.endswith("http://out\n            \n            ")
     values = report.report_values(row, config).first()
     assert (values.pix_in_daily_mismatch, values.pix_in_amount_mismatch_tx) == (1.2345, -12.05)
+
+
+def test_many_hot_rows_are_spread(spark):
+    counted = spark.range(300).selectExpr("id", "50L as copies")
+    found = replicate(counted, chunk=10).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in found) == 15_000 and len(found) > 1

@@ -157,12 +157,6 @@ def test_run_sql(spark):
     assert tables.run_sql(spark, "select sum(id) as s from {rows}", rows=df).first().s == 3
 
 
-def test_materialize_uses_the_checkpoint_folder(spark, tmp_path):
-    df = tables.materialize(spark.range(5), str(tmp_path))
-    assert spark.sparkContext.getCheckpointDir() is not None
-    assert df.count() == 5 and "Scan" in df._jdf.queryExecution().toString()
-
-
 def test_each_archive_is_read_once(spark, tmp_path):
     folder, target, state = (str(tmp_path / n) for n in ("in", "raw", "state"))
 
@@ -236,3 +230,77 @@ def test_curation_replaces_only_days_with_new_rows(spark, tmp_path):
     assert {d for d in after if after[d] != before[d]} == {"report_day=2021-06-02"}
     rows, _ = load("c.zip", line("E5", **{"Data Hora": ""}))
     assert rows == ["E1", "E2", "E3", "E4", "E5"]
+
+
+def odd_archive(folder, name, content, member_name=PREFIX):
+    os.makedirs(folder, exist_ok=True)
+    with zipfile.ZipFile(os.path.join(folder, name), "w") as zipped:
+        zipped.writestr(member_name, content)
+
+
+def odd_rows(spark, folder, **options):
+    found = archives.expand_archives(archives.list_archives(spark, folder), ["a", "b"], **options)
+    return [(r.a, r.b, r.parse_error) for r in found.orderBy("archive", "row_no").collect()]
+
+
+@pytest.mark.parametrize("content, rows", [
+    ('a;b\n1;"open\n2;x\n3;y\n', [(None, None, "quote is never closed")]),
+    ("\n\na;b\n0012;x\n", [("0012", "x", None)]),
+    ("a;b;a\n1;2;3\n", [("1", "2", None)]),
+    ('a;b\n1;5" pipe\n2;y\n', [("1", '5" pipe', None), ("2", "y", None)]),
+    ('a;b\n1;"two\nlines"\n', [("1", "two\nlines", None)]),
+    ("a;b\n1\n1;2;3\n", [("1", None, None), (None, None, "expected 2 fields, saw 3: 1;2;3")]),
+    ("a;b\n1;é\n".encode("latin-1"), [(None, None, "unreadable: ArrowInvalid")]),
+])
+def test_odd_members_lose_nothing(spark, tmp_path, content, rows):
+    odd_archive(str(tmp_path / "in"), "a.zip", content)
+    found = odd_rows(spark, str(tmp_path / "in"))
+    if isinstance(content, bytes):
+        assert len(found) == 1 and found[0][2].startswith("unreadable")
+    else:
+        assert found == rows
+
+
+def test_members_in_folders(spark, tmp_path):
+    odd_archive(str(tmp_path / "in"), "a.zip", "a;b\n1;2\n", f"deep/{PREFIX}")
+    assert odd_rows(spark, str(tmp_path / "in"), nested=False) == []
+    assert odd_rows(spark, str(tmp_path / "in")) == [("1", "2", None)]
+
+
+def test_broken_archive_does_not_stop_the_stream(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.zip"), "wb") as broken:
+        broken.write(b"PK no zip")
+    write_zip(folder, "b.zip", **{PREFIX: member(line("E1"))})
+    ingest.ingest_new(spark, folder, str(tmp_path / "raw"), str(tmp_path / "state")).awaitTermination()
+    assert [r.end_to_end_id for r in tables.read_staged(spark, str(tmp_path / "raw")).collect()] == ["E1"]
+    assert [r.reject_reason for r in tables.read_rejects(spark, str(tmp_path / "raw")).collect()] == [
+        "unreadable: BadZipFile"]
+
+
+def test_half_done_curation_and_late_clock(spark, tmp_path):
+    """Progress does not hang on what the output shows: a day that was not written comes next time."""
+    folder, raw, curated = (str(tmp_path / n) for n in ("in", "raw", "curated"))
+    other = {"Data Hora": "02/06/2021 15:00:00.0"}
+    write_zip(folder, "a.zip", **{PREFIX: member(line("E1"), line("E2", **other))})
+    ingest.ingest_new(spark, folder, raw, str(tmp_path / "state")).awaitTermination()
+    done = staging.curate_jd(tables.read_staged(spark, raw)).withColumn("report_day", F.to_date("date_day"))
+    done.filter("end_to_end_id = 'E2'").write.partitionBy("report_day").parquet(curated)
+    job.curate(spark, raw, curated)
+    assert sorted(r.end_to_end_id for r in spark.read.parquet(curated).collect()) == ["E1", "E2"]
+    job.curate(spark, raw, curated)
+    assert spark.read.parquet(curated).count() == 2
+
+
+def test_second_run_of_a_day_leaves_one_text(spark, tmp_path):
+    path = {n: str(tmp_path / n) for n in
+            ("in", "raw", "state", "curated", "ledger", "gateway", "daily", "reports")}
+    write_zip(path["in"], "a.zip", **{PREFIX: member(line("E1"))})
+    spark.sql("""select 1L as transfer_id, timestamp_ntz'2021-06-01 15:00:00' as utc_datetime,
+                        'pix_in' as type, 'TransferIn' as direction, 100L as amount,
+                        7L as account_id""").write.parquet(path["ledger"])
+    spark.sql("select 1L as ledger_transfer_id, 'E1' as end_to_end_id").write.parquet(path["gateway"])
+    for _ in range(2):
+        job.run(spark, ReconConfig(as_of=date(2021, 6, 2)), *path.values())
+    assert spark.read.parquet(path["reports"]).groupBy("date").count().filter("count > 1").count() == 0
