@@ -8,9 +8,10 @@ equal sets inside it one class. Group pairs come from shared prefix shingles and
 expanded to classes and verified on the whole sets.
 
 Only components are asked for, so pairs inside a component need no verification. Three
-passes use that. The first verifies neighbours in each shingle's list, ordered by size; the second
-neighbours among one class of each component so far; both are linear in the lists. The third
-verifies every pair that shares a prefix shingle across components, so no link is lost.
+passes use that. The first verifies neighbours in each shingle's list; the second neighbours among
+one class of each component so far; both are linear in the lists. The third verifies every pair
+across components for which a common prefix shingle may be the first common one, so no link is lost.
+Lists of two are done with after the first pass.
 """
 
 from __future__ import annotations
@@ -223,21 +224,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, id_type: str, size: int, perce
     return checkpointed(both.select("left", "right", "a", "b").mapInArrow(work, f"left {id_type}, right {id_type}"))
 
 
+def _early(percent: int) -> str:
+    """Whether two sets can have enough in common if the shingle at their places is the first common one."""
+    return (f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
+            f" and {100 + percent} * least(x.n - x.place, y.n - y.place) >= {percent} * (x.n + y.n)")
+
+
 def _possible(entries: DataFrame, percent: int) -> DataFrame:
-    """The pairs of `entries` (x, y: class, n, place in a common list) that can have enough in common.
+    """The different pairs of `entries` (x, y: class, n, place in a common list) to verify.
 
-    After the last common shingle of two prefixes, at places i and j, at most the smaller rest
-    of both sets is common, beside the shingles common so far.
+    The first common shingle of two sets must lie so early in both that enough remains from there.
     """
-    low, high = F.when(F.col("x.class") < F.col("y.class"), F.col("x")).otherwise(F.col("y")), F.when(
-        F.col("x.class") < F.col("y.class"), F.col("y")).otherwise(F.col("x"))
-    pairs = (entries.where("x.class <> y.class")
-             .where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-             .select(low.alias("low"), high.alias("high"))
-             .groupBy(F.col("low.class").alias("left"), F.col("high.class").alias("right"), F.col("low.n").alias("m"),
-                      F.col("high.n").alias("n"))
-             .agg(F.count("*").alias("common"), F.max("low.place").alias("i"), F.max("high.place").alias("j")))
-    return pairs.where(f"{100 + percent} * (common + least(m - i, n - j) - 1) >= {percent} * (m + n)").select("left", "right")
+    return (entries.where("x.class <> y.class").where(_early(percent))
+            .select(F.least("x.class", "y.class").alias("left"), F.greatest("x.class", "y.class").alias("right"))
+            .distinct())
 
 
 def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, size: int = 5,
@@ -268,19 +268,26 @@ def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str =
         "ngram-others")  # all but the one document of each group that stands for it
     others = _broadcast(others, others.count(), most_broadcast)
     salt = F.pmod(F.xxhash64("group"), F.col("entry.salts")).alias("salt")
-    in_list = Window.partitionBy("token", "salt").orderBy("n", "group")
+    # Neighbours differ from list to list, else a document meets the same few in all its lists.
+    in_list = Window.partitionBy("token", "salt").orderBy(F.xxhash64(F.col("token") % 3, "group"), "group")
     entry = F.struct(F.col("group").alias("class"), "n", "place")
     lists = (signed.where("n > 0").join(others, ["id", "n"], "left_anti")
              .select(F.col("id").alias("group"), "n",
                      F.posexplode(F.arrays_zip("prefix", "salts")).alias("place", "entry"))
              .select("group", "n", "place", F.col("entry.prefix").alias("token"), salt,
                      (F.col("entry.salts") > 1).alias("cut"))
-             .withColumn("before", F.lag(entry).over(in_list)).withColumn("after", F.lead("group").over(in_list)))
-    crowded = members.where("class <> group").select("group").distinct().withColumn("crowded", F.lit(True))
+             .withColumn("before", F.lag(entry).over(in_list)).withColumn("after", F.lead("group").over(in_list))
+             .withColumn("second", F.coalesce(F.lag("group", 2).over(in_list), F.lead("group", 2).over(in_list))))
+    crowded = members.where("class <> group").select(F.col("group").alias("crowd")).distinct()
+    # A list of two groups of one class each is done with after the first pass, unless it was cut.
+    lonely = "not cut and second is null and (before is null or after is null)"
     shared = written(
-        lists.join(crowded, "group", "left")
-        .where("before is not null or after is not null or cut or (crowded and place = 0)")
-        .select("token", "group", "n", "place", "before"), "ngram-lists")
+        lists.join(crowded, F.col("group") == F.col("crowd"), "left")
+        .where("before is not null or after is not null or cut or (crowd is not null and place = 0)")
+        .withColumn("lonely", F.expr(f"{lonely} and crowd is null")).drop("crowd")
+        .join(crowded, F.coalesce("before.class", "after") == F.col("crowd"), "left")
+        .select("token", "group", "n", "place", "before", F.expr("lonely and crowd is null").alias("lonely")),
+        "ngram-lists")
 
     def verified(pairs: DataFrame) -> DataFrame:
         return _verified(pairs, texts, id_type, size, percent, most_broadcast)
@@ -288,7 +295,7 @@ def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str =
     inside = members.where("class <> group").select(F.col("group").alias("left"), F.col("class").alias("right"))
     neighbours = shared.where("before is not null").select(entry.alias("x"), F.col("before").alias("y"))
     links = verified(_possible(neighbours, percent).unionByName(inside).distinct())
-    entries = shared.select("token", "group", "n", "place").join(members.select("group", "class"), "group").select(
+    entries = shared.where("not lonely").select("token", "group", "n", "place").join(members.select("group", "class"), "group").select(
         "token", F.struct("class", "n", "place").alias("entry"))
 
     def labelled(links: DataFrame) -> DataFrame:
@@ -314,7 +321,7 @@ def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str =
     across = (small.join(rest.select("token", F.col("entry").alias("y"), F.col("component").alias("of_y")), "token")
               .join(largest, "token")
               .where("of_x <> of_y and (of_y = largest or x.class < y.class)")
-              .where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").select("x", "y"))
+              .where(_early(percent)).select("x", "y"))
     links = links.unionByName(verified(_possible(across, percent)))
 
     found = components(links).withColumnRenamed("node", "class")
