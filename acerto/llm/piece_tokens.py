@@ -31,7 +31,7 @@ from .common import slices
 
 MARK = "▁"
 _LONGEST_CACHED = 64
-_CACHED = 500_000
+_CACHED = 200_000
 
 
 class Agenda:
