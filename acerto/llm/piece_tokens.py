@@ -237,6 +237,7 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
                      pa.array([coder.decode(ids) for ids in encoded], pa.string()),
                      pa.array([differ] + [0] * (len(texts) - 1), pa.int64())],
                     names=[id_column, "ids", "decoded", "differ"])
+        coder.cache.clear()  # the worker may serve other operators next
 
     return rows.select(id_column, text_column).mapInArrow(
         work, f"`{id_column}` {id_type}, ids binary, decoded string, differ bigint")
