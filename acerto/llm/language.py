@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import sampled, slices, written
+from .common import slices, written
 
 _CELLS = 1 << 16
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -53,27 +53,54 @@ def _trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return cells[inside], counts[np.minimum(offsets, len(cells))]
 
 
+def _named(declared: Column) -> Column:
+    """A declared language by its part before "-" or "_", in lower case; "" where it names none."""
+    return F.regexp_extract(F.lower(F.coalesce(declared, F.lit(""))), r"^([\p{L}\p{M}\p{N}]+)", 1)
+
+
 def train(rows: DataFrame, text_column: str = "text", declared_column: str = "lang", *, sample_rows: int = 3000,
-          longest: int = 200_000, most_languages: int = 64) -> Model:
-    """A model from rows with a declared language.
+          longest: int = 200_000) -> Model:
+    """A model from rows with a declared language: every language that any row with a text declares.
 
-    The sample is bounded: about `sample_rows` rows, never over twice as many, of texts with at
-    most `longest` characters; of the languages in it, the `most_languages` most frequent.
+    The languages come from a grouped count over all rows. The sample is bounded for each of them: about
+    `sample_rows` of its different texts, all where there are no more, each by its first `longest`
+    characters. Trigrams are counted in the tasks; the driver and each worker hold 256 kB for each language.
+    "und" and "other" name no language.
     """
-    labelled = rows.where(F.col(declared_column).isNotNull() & (F.length(text_column) > 0)).select(
-        F.lower(declared_column).alias("language"), F.col(text_column).alias("text"))
-    table = sampled(labelled, "text", sample_rows).where(F.length("text") <= longest).toArrow().combine_chunks()
-    names = table["language"].to_pylist()
-    ranked = sorted({n: -names.count(n) for n in set(names)}.items(), key=lambda x: (x[1], x[0]))
-    languages = sorted(n for n, _ in ranked[:most_languages])
-    found = np.full((_CELLS, len(languages) + 1), -np.log(_CELLS))
-    for k, language in enumerate(languages):
-        texts = table.filter(pc.equal(table["language"], language))["text"].combine_chunks()
-        counts = np.full(_CELLS, 0.01)
-        for chunk in (texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]):
-            counts += np.bincount(_trigrams(chunk)[0], minlength=_CELLS)
-        found[:, k] = np.log(counts / counts.sum())
-    return Model((*languages, "und"), found.astype(np.float32))
+    labelled = rows.where(F.length(text_column) > 0).select(
+        _named(F.col(declared_column)).alias("language"), F.col(text_column).alias("text")).where(
+        ~F.col("language").isin("", "und", "other"))
+    sizes = {r.language: r.n for r in labelled.groupBy("language").agg(
+        F.approx_count_distinct("text", 0.02).alias("n")).collect()}  # one for each language
+    languages = sorted(sizes)
+    counts = np.full((len(languages), _CELLS), 0.01, np.float32)
+    if languages:
+        shares = rows.sparkSession.createDataFrame(pa.table({
+            "language": languages, "place": pa.array(range(len(languages)), pa.int32()),
+            "share": [int(min(1.0, sample_rows / max(sizes[n], 1)) * 2**31) for n in languages]}))
+        picked = (labelled.join(F.broadcast(shares), "language")
+                  .where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(2**31)) < F.col("share"))
+                  .select("place", "text").distinct().select("place", F.substring("text", 1, longest).alias("text")))
+        table = (picked.mapInArrow(_counted, "place int, cell int, n bigint").groupBy("place", "cell")
+                 .agg(F.sum("n").alias("n")).toArrow())
+        counts[table["place"].to_numpy(), table["cell"].to_numpy()] += table["n"].to_numpy()
+    found = np.full((_CELLS, len(languages) + 1), -np.log(_CELLS), np.float32)
+    for k, row in enumerate(counts):  # 1 more, so that a language without trigrams is less likely than "und"
+        found[:, k] = np.log(row / (row.sum(dtype=np.float64) + 1))
+    return Model((*languages, "und"), found)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """place, cell, n: numbers of trigrams in the texts of each language, summed within each part of a batch."""
+    for batch in batches:
+        for part in slices(batch):
+            for place in pc.unique(part.column(0)):
+                cells = _trigrams(part.column(1).filter(pc.equal(part.column(0), place)))[0]
+                counts = np.bincount(cells, minlength=_CELLS)
+                used = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(used), place.as_py(), np.int32)), pa.array(used.astype(np.int32)),
+                     pa.array(counts[used].astype(np.int64))], names=["place", "cell", "n"])
 
 
 def _scored(rows: DataFrame, model: Model, most_trigrams: int) -> DataFrame:
@@ -131,7 +158,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     """
     languages = model.languages
     size = len(languages)
-    clean = F.regexp_extract(F.lower(F.coalesce(declared, F.lit(""))), "^([a-z]+)", 1)
+    clean = _named(declared)
     names = F.array(*map(F.lit, languages))
     prepared = rows.select(
         F.struct(*rows.columns).alias("_row"), F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(F.rlike(text, F.lit(r"\S")), F.lit(False)).alias("_filled"),
@@ -157,10 +184,10 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
         seen[row.guess - 1, row._declared] = row.n  # languages squared at most
     values = [*languages, "other"]
     said = {}
+    known = [sum(seen.get((k, v), 0) for v in values) + 2.0 + 0.1 * (len(values) - 1) for k in range(size)]
     for value in values:  # how likely a language's rows are to declare `value`
-        said[value] = [float(np.log((seen.get((k, value), 0) + (2.0 if name == value else 0.1)) / (
-            sum(seen.get((k, v), 0) for v in values) + 2.0 + 0.1 * (len(values) - 1))))
-            for k, name in enumerate(languages)]
+        said[value] = [float(np.log((seen.get((k, value), 0) + (2.0 if name == value else 0.1)) / known[k]))
+                       for k, name in enumerate(languages)]
     domains = sums("_domain").select("_domain", F.transform(
         _logs(F.col("counts"), shares, host_weight), lambda x: F.exp(x)).alias("domain_share"))
     hosts = written(sums("_host", "_domain").join(domains, "_domain").select(
@@ -170,13 +197,13 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
         "counts", totals, lambda c, t: F.log((c + 0.5) / (t + 1.0))).alias("_suffix_score")), "language-suffixes")
 
     nothing = F.array(*(F.lit(0.0) for _ in languages))
-    of_declared = nothing
-    for value in values:
-        of_declared = F.when(F.col("_declared") == value, F.array(*map(F.lit, said[value]))).otherwise(of_declared)
-    posterior = _added(F.coalesce("text_score", nothing), F.coalesce("_prior", F.transform(shares, lambda x: F.log(x))), of_declared,
-                       F.coalesce("_suffix_score", nothing))
+    of_declared = rows.sparkSession.createDataFrame(pa.table({
+        "_declared": values, "_declared_score": pa.array([said[v] for v in values], pa.list_(pa.float64()))}))
+    posterior = _added(F.coalesce("text_score", nothing), F.coalesce("_prior", F.transform(shares, lambda x: F.log(x))),
+                       F.coalesce("_declared_score", nothing), F.coalesce("_suffix_score", nothing))
     joined = (_scored(prepared, model, most_trigrams).drop("_text")
               .join(hosts, ["_host", "_domain"], "left").join(suffixes, "_suffix", "left")
+              .join(F.broadcast(of_declared), "_declared", "left")
               .withColumn("_posterior", posterior).withColumn("_top", F.array_max("_posterior"))
               .withColumn("language", F.get(names, _best(F.col("_posterior")) - 1))
               .withColumn("probability", 1 / F.aggregate(

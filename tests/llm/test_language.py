@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from acerto.llm import language
@@ -51,3 +53,24 @@ def test_pages(spark):
     assert (first.text.split(), first.declared, first.host, first.domain, first.suffix) == (
         ["Bonjour"], "fr", "a.b.example.co", "example.co", "co")
     assert (second.text, second.declared, second.host) == ("", "", "")
+
+
+def test_rare_and_many_languages(spark):
+    pick = random.Random(5)
+    rows, truth = [(i, " ".join(pick.choices(WORDS["en"].split(), k=14)), "en", None) for i in range(2000)], {}
+    for k in range(80):  # 80 rare languages of 4 rows, one of them with a region
+        vocabulary = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        name = chr(97 + k // 26) + chr(97 + k % 26) + "x"
+        for j in range(4):
+            truth[10_000 + 10 * k + j] = name
+            rows.append((10_000 + 10 * k + j, " ".join(pick.sample(vocabulary, 10)), name + "-AT" * (k == 7), None))
+    rows += [(20_000 + i, "kopia kopia jednego tekstu", "pl", None) for i in range(300)]
+    rows += [(30_000, "pitkä teksti yksin " * 50, "fi", None), (30_001, "12345 67890", "qq", None), (30_002, "dummy", "und", None)]
+    table = build(spark, rows)
+    model = language.train(table, sample_rows=60, longest=500)
+    assert model.languages == (*sorted({"en", "pl", "fi", "qq", *truth.values()}), "und")
+    none = F.lit(None).cast("string")
+    found = {r.doc_id: r for r in language.identify(table, model, F.col("text"), F.col("lang"), none, none, none).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i].language == name and found[i].accepted for i, name in truth.items())
+    assert found[0].language == "en" and found[20_000].language == "pl" and found[30_000].language == "fi"
