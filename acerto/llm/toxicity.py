@@ -12,8 +12,10 @@ A document's score is a logistic function of its marginals, fitted on the sample
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -150,18 +152,26 @@ def _labelled(documents: list[tuple[list[str], int]], least: float = 0.008, odds
 
 
 def fit(documents: list[tuple[str, int]], rounds: int = 60, windows: int = 4000) -> Model:
-    """The model for labelled texts (text, 0 or 1)."""
+    """The model for labelled texts (text, 0 or 1).
+
+    Texts are cut into windows of 24 tokens, the last one as short as it comes. The field is fitted to at most
+    half of `windows` with toxic tokens, `windows` with tokens like them in clean documents and half of
+    `windows` without either, picked by hash over all texts.
+    """
     texts = [(_WORDS.findall(text), toxic) for text, toxic in documents]
     labels = _labelled(texts)
-    chosen: list[tuple[list[str], list[bool]]] = []
-    kinds = {"toxic": windows // 2, "alike": windows, "clean": windows // 2}
-    for (words, _), (toxic, alike) in zip(texts, labels):
-        for at in range(0, len(words) - _WINDOW + 1, _WINDOW):
-            part = toxic[at:at + _WINDOW]
-            kind = "toxic" if any(part) else "alike" if any(alike[at:at + _WINDOW]) else "clean"
-            if kinds[kind] > 0 and (kind != "clean" or at // _WINDOW % 5 == 0):
-                kinds[kind] -= 1
-                chosen.append((words[at:at + _WINDOW], part))
+    bounds = {"toxic": windows // 2, "alike": windows, "clean": windows // 2}
+    kinds: dict[str, list[tuple[int, int, int]]] = {kind: [] for kind in bounds}  # heaps of -hash, text, place
+    for i, ((words, _), (toxic, alike)) in enumerate(zip(texts, labels)):
+        for at in range(0, len(words), _WINDOW):
+            kind = "toxic" if any(toxic[at:at + _WINDOW]) else "alike" if any(alike[at:at + _WINDOW]) else "clean"
+            heap, entry = kinds[kind], (-zlib.crc32(f"{i}:{at}".encode()), i, at)
+            if len(heap) < bounds[kind]:
+                heapq.heappush(heap, entry)
+            elif heap and entry > heap[0]:
+                heapq.heapreplace(heap, entry)
+    chosen = [(texts[i][0][at:at + _WINDOW], labels[i][0][at:at + _WINDOW])
+              for i, at in sorted(entry[1:] for heap in kinds.values() for entry in heap)]
     start = np.log([[0.98, 0.02], [0.5, 0.5]])
     if not any(any(part) for _, part in chosen):
         toxic = sum(t for _, t in documents)
@@ -173,11 +183,12 @@ def fit(documents: list[tuple[str, int]], rounds: int = 60, windows: int = 4000)
         for j, word in enumerate(words):
             for k, f in enumerate(features(word)):
                 ids[i, j, k] = names.setdefault(f, len(names))
-    gold = np.array([part for _, part in chosen])
+    gold = np.array([part + [False] * (_WINDOW - len(part)) for _, part in chosen])
+    inside = np.arange(_WINDOW) < np.array([len(part) for _, part in chosen])[:, None]  # the rest of a window is masked
     weights, bias, transitions = np.zeros(len(names) + 1), -3.0, start.copy()
     momentum, speed = np.zeros(len(names) + 6), np.full(len(names) + 6, 1e-8)
     before = np.concatenate([np.zeros((len(gold), 1), bool), gold[:, :-1]], axis=1)
-    moves = np.array([[np.sum((before == a) & (gold == b)) for b in (0, 1)] for a in (0, 1)], float)
+    moves = np.array([[np.sum((before == a) & (gold == b) & inside) for b in (0, 1)] for a in (0, 1)], float)
     for turn in range(rounds):
         toxic = weights[ids].sum(axis=2) + bias
         step, emission = np.exp(transitions), np.exp(np.stack([np.zeros_like(toxic), np.minimum(toxic, 50)], axis=2))
@@ -193,11 +204,11 @@ def fit(documents: list[tuple[str, int]], rounds: int = 60, windows: int = 4000)
             out = vector * emission[:, t]
             source = alpha[:, t - 1] if t else np.tile([1.0, 0.0], (len(chosen), 1))
             joint = source[:, :, None] * step * out[:, None, :]
-            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-            vector = out @ step.T
-            vector /= vector.sum(axis=1, keepdims=True)
+            pairs += (joint / joint.sum(axis=(1, 2), keepdims=True))[inside[:, t]].sum(axis=0)
+            moved = out @ step.T
+            vector = np.where(inside[:, t, None], moved / moved.sum(axis=1, keepdims=True), vector)
         both = alpha * beta
-        error = gold - both[:, :, 1] / both.sum(axis=2)
+        error = (gold - both[:, :, 1] / both.sum(axis=2)) * inside
         slope = np.bincount((ids % (len(names) + 1)).ravel(), np.repeat(error.ravel(), _FEATURES), len(names) + 1)
         slope[:-1] -= 0.5 * weights[:-1]
         slope[-1] = error.sum()
@@ -235,12 +246,12 @@ def _calibrated(model: Model, texts: list[tuple[list[str], int]]) -> tuple[float
 
 def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           label_column: str = "toxic", *, toxic_rows: int = 1500, clean_rows: int = 3000,
-          longest: int = 200_000) -> Model:
+          longest: int = 200_000, windows: int = 4000) -> Model:
     """A model from labelled rows that are not held out.
 
     The sample is bounded: about `toxic_rows` and `clean_rows` labelled rows, never over
-    twice as many, of texts with at most `longest` characters. A repeated label counts as toxic
-    if one of its rows is.
+    twice as many, of texts with at most `longest` characters; of its windows of tokens, the field
+    is fitted to those that `fit` picks under `windows`. A repeated label counts as toxic if one of its rows is.
     """
     known = (labels.where(~held_out(F.col(id_column))).where(F.col(label_column).isNotNull())
              .groupBy(id_column).agg(F.max(F.col(label_column).cast("int")).alias("is_toxic")))
@@ -251,7 +262,7 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
              .dropDuplicates([id_column]).limit(2 * (toxic_rows + clean_rows))
              .select(F.col(id_column), F.col(text_column).alias("text"), "is_toxic").toArrow().to_pydict())
     order = sorted(range(len(texts["text"])), key=lambda i: str(texts[id_column][i]))
-    return fit([(texts["text"][i], texts["is_toxic"][i]) for i in order])
+    return fit([(texts["text"][i], texts["is_toxic"][i]) for i in order], windows=windows)
 
 
 def score(rows: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

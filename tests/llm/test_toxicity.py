@@ -66,3 +66,29 @@ def test_table(spark, frame, edge, corpus):
     assert t.score(frame([]), trained).count() == 0
     assert t.train(frame([]), marks).weights == {}
     assert 0 <= t.train(table, marks.limit(0)).score([]) <= 1
+
+
+def test_short_texts_and_tails_train(words):
+    rows = []
+    for i in range(200):
+        rows.append((words(9, i) + (" scumbag" if i % 2 else ""), i % 2))  # no text fills a window
+    short = t.fit(rows)
+    assert short.evidence("scumbag") > 1 > short.evidence("harmless")
+    tails = t.fit([(f"{words(24, 1000 + i)} {'idiot ' * (i % 2)}{words(3, i)}", i % 2) for i in range(200)])
+    assert tails.evidence("idiot") > 1
+
+
+def test_masked_places_change_nothing(words):
+    """A clean tail of one token: the same fit but for that token's own evidence."""
+    rows = [(f"{words(20, i)} {'scumbag' if i % 2 else 'x'} {words(3, 500 + i)}", i % 2) for i in range(100)]
+    whole, longer = t.fit(rows), t.fit([(text + " y", toxic) for text, toxic in rows])
+    assert longer.evidence("scumbag") == pytest.approx(whole.evidence("scumbag"), rel=0.2)
+
+
+def test_windows_are_spread_over_the_sample(words):
+    rows = []
+    for i in range(400):
+        word = "scumbag" if i < 200 else "idiot"
+        rows.append((f"{words(20, i)} {word if i % 2 else ''} {words(8, 900 + i)}", i % 2))
+    few = t.fit(rows, windows=80)
+    assert few.evidence("scumbag") > 0.5 and few.evidence("idiot") > 0.5
