@@ -49,7 +49,7 @@ def _is_card(text: str) -> bool:
 
 
 def _is_ip(parts: list[str]) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:

@@ -58,3 +58,8 @@ def test_table(frame, edge, field):
     assert all(not found[i].base for i in (1, 2, 51, 53))
     assert pii.scan(frame([])).count() == 0
     assert pii.scan(frame(rows)).count() == len(rows)
+
+
+def test_long_run_of_zeros():
+    """Python turns at most 4,300 digits into a number."""
+    assert pii.base_spans("0" * 5000 + ".1.2.3")[0][0] == "ip"
