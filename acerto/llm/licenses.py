@@ -42,8 +42,12 @@ NOTICES = {
     "all rights reserved": "reserved",
 }
 _TAG = "spdx license identifier"
-_EXPRESSION = re.compile(r"SPDX-License-Identifier[ \t]*:[ \t]*([^\r\n]*)", re.IGNORECASE)
-_TOKENS = re.compile(r"[()]|[A-Za-z0-9.+:_-]+").findall
+_MARK = re.compile(r"SPDX-License-Identifier[ \t]*:[ \t]*", re.IGNORECASE)
+_LINE_END = re.compile(r"[\r\n]")
+#: What ends an expression: a comment closer, or a full stop that is not part of an identifier.
+_CLOSED = re.compile(r"-->|\*/|\.(?![A-Za-z0-9.+:_-])")
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:_-]+")
+_TOKENS = _TOKEN.findall
 #: Identifiers whose label differs from their lower-case form.
 _LABELS = {"apache-2.0": "apache-2", "gpl-2.0": "gpl-2", "gpl-2.0-only": "gpl-2", "gpl-2.0-or-later": "gpl-2",
            "gpl-3.0": "gpl-3", "gpl-3.0-only": "gpl-3", "gpl-3.0-or-later": "gpl-3", "cc-by-nc-4.0": "cc-by-nc",
@@ -74,7 +78,7 @@ def postfix(expression: str) -> list[str] | None:
                 out.append(stack.pop())
             stack.append(name)
             operand = True
-        elif token not in "()" and name not in _PRECEDENCE and operand:
+        elif name not in _PRECEDENCE and operand and any(map(str.isalnum, token)):
             out.append(token)
             operand = False
         else:
@@ -84,6 +88,53 @@ def postfix(expression: str) -> list[str] | None:
     return out + stack[::-1]
 
 
+def _is_identifier(token: str) -> bool:
+    """Whether `token` looks like an identifier and not like a word of prose."""
+    name = token.lower().rstrip("+")
+    return _LABELS.get(name, name) in ALLOWED or any(c in "0123456789-" for c in token) or len(token) > 1 and token.isupper()
+
+
+def beginning(text: str) -> str:
+    """The licence expression that `text` begins with; "" if none.
+
+    It ends at a comment closer or a full stop. What stands before that is the expression if it is one as a whole,
+    else its longest beginning that is one. There, prose may follow: an operator in small letters counts only
+    before what looks like an identifier, and any other character behind an operand ends the expression.
+    """
+    closed = _CLOSED.search(text)
+    text = text[:closed.start() if closed else len(text)].strip()
+    if postfix(text) is not None:
+        return text
+    depth, operand, small, at, end = 0, True, False, 0, 0
+    for match in _TOKEN.finditer(text):
+        token, name = match[0], match[0].lower()
+        if not operand and text[at:match.start()].strip():
+            break
+        at = match.end()
+        if token == "(" and operand:
+            depth += 1
+        elif token == ")" and not operand and depth:
+            depth -= 1
+        elif name in _PRECEDENCE and not operand:
+            operand, small = True, token.islower()
+        elif (token not in "()" and name not in _PRECEDENCE and operand and any(map(str.isalnum, token))
+              and (not small or _is_identifier(token))):
+            operand = small = False
+        else:
+            break
+        if not operand and not depth:
+            end = at
+    return text[:end]
+
+
+def _tagged(text: str) -> Iterator[str]:
+    """What stands behind each identifier tag, up to the end of its line or the next tag."""
+    marks = list(_MARK.finditer(text))
+    for mark, after in zip(marks, [*(m.start() for m in marks[1:]), len(text)]):
+        line = _LINE_END.search(text, mark.end(), after)
+        yield text[mark.end():line.start() if line else after]
+
+
 def evaluate(expression: str, allowed: frozenset[str] = ALLOWED) -> tuple[list[str], bool] | None:
     """Labels of the licences in `expression` and whether `allowed` permits it; None if
     it cannot be parsed.
@@ -134,11 +185,12 @@ def scan_text(text: str, allowed: frozenset[str] = ALLOWED) -> dict:
         places = [(bisect_left(begins, at), kind, label) for at, kind, label in hits if kind != "tag"]
         weights = {(kind, label): _WEIGHTS[kind] for _, kind, label in places}
     if any(kind == "tag" for _, kind, _ in hits):
-        for match in _EXPRESSION.finditer(text):
-            found = evaluate(match[1], allowed)
+        for behind in _tagged(text):
+            expression = beginning(behind)
+            found = evaluate(expression, allowed)
             labels, good = found if found else ([], None)
-            expressions.append((match[1], labels, good))
-            for label in labels or [match[1]]:
+            expressions.append((expression or behind, labels, good))
+            for label in labels or [behind]:
                 weights["expression", label] = _WEIGHTS["expression" if found else "broken expression"]
     rest = 1.0
     for key in sorted(weights):
@@ -162,7 +214,8 @@ def scan(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     `places` are all places of phrases, sorted by their first word (from 0), kind ("base" or
     "notice") and label; phrases may overlap. `expressions` are those behind identifier tags:
-    text, labels, and whether the policy allows them (null: not a valid expression). `score`,
+    text, labels, and whether the policy allows them (null: no valid expression stands there, and the text is
+    all that does). Prose or a comment closer behind an expression does not belong to it. `score`,
     from 0 to 1, grows with each different label found. Null texts count as empty: no words, no
     places, score 0. Repeated rows each get their row; an empty table gives an empty
     result; other columns are ignored.

@@ -40,6 +40,29 @@ def test_tags_and_score():
     assert scan_text("nothing")["score"] == 0
 
 
+@pytest.mark.parametrize("text, labels, allowed", [
+    ("<!-- SPDX-License-Identifier: MIT -->", ["mit"], True),
+    ("/* SPDX-License-Identifier: MIT OR GPL-3.0-only */ int x;", ["gpl-3", "mit"], True),
+    ("SPDX-License-Identifier: MIT. This file is free.", ["mit"], True),
+    ("SPDX-License-Identifier: Apache-2.0.", ["apache-2"], True),
+    ("SPDX-License-Identifier: (MIT AND GPL-2.0) see the file COPYING", ["gpl-2", "mit"], False),
+    ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0 which is here", ["gpl-2"], False),
+    ("SPDX-License-Identifier: MIT and the rest of the text", ["mit"], True),
+    ("SPDX-License-Identifier: mit and gpl-2.0 for all of it", ["gpl-2", "mit"], False),
+    ("(SPDX-License-Identifier: MIT) and more", ["mit"], True),
+    ('<p id="SPDX-License-Identifier: BSD-3-Clause">or this</p>', ["bsd-3"], True),
+    ("SPDX-License-Identifier: MIT OR\nnext line", ["mit"], True),
+    ("SPDX-License-Identifier: -->", [], None)])
+def test_expression_ends_before_what_follows(text, labels, allowed):
+    (found,) = scan_text(text)["expressions"]
+    assert (found["labels"], found["allowed"]) == (labels, allowed)
+
+
+def test_two_tags_in_a_line():
+    found = scan_text("SPDX-License-Identifier: MIT some words SPDX-License-Identifier: GPL-2.0 and more words")
+    assert [(e["text"], e["labels"]) for e in found["expressions"]] == [("MIT", ["mit"]), ("GPL-2.0", ["gpl-2"])]
+
+
 def test_table(frame, edge):
     found = scan(frame(edge)).collect()
     assert len(found) == len(edge)
