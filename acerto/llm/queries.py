@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language, licenses, mixing, near_ngrams, near_vectors, pii, piece_tokens, secrets, toxicity
+from . import (conversations, exact_dedup, filter_audit, language, licenses, line_dedup, mixing, near_ngrams, near_vectors, pii, piece_tokens,
+               secrets, toxicity)
 from .common import documents
 
 
@@ -106,10 +107,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "page_id", "language", "probability", F.col("accepted").alias("kept"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversations.digests(damaged, conversations.audits(damaged))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_near_vectors, op2_licenses, op3_pii, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets, op10_language]
+    found = [op1_near_vectors, op2_licenses, op3_pii, op4_exact_dedup, op5_piece_tokens, op6_toxicity, op7_near_ngrams, op8_mixing, op9_secrets, op10_language,
+             op11_conversation_repair, op12_line_dedup, op13_filter_audit]
     return {query.__name__: query for query in found}
 
 
 def text_oracles() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE, "op8_mixing": mixing.ORACLE}
+    return {"op4_exact_dedup": exact_dedup.ORACLE, "op8_mixing": mixing.ORACLE, "op11_conversation_repair": conversations.ORACLE,
+            "op12_line_dedup": line_dedup.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
