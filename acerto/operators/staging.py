@@ -143,20 +143,29 @@ def stage_rejects(report: DataFrame) -> DataFrame:
             .select(*report.columns, _reason(report).alias("reject_reason")))
 
 
+def staged_and_pending(report: DataFrame, inserted_at: Column | None = None) -> DataFrame:
+    """Every row of the report with its ``outcome``: staged, rejected or pending. The other columns are as in ``staged_or_rejected``."""
+    origin = [name for name in schemas.ORIGIN_COLUMNS if name in report.columns]
+    texts = F.struct(*schemas.REPORT_COLUMNS.values())
+    rejected = F.col("outcome") == "rejected"
+    judged = _converted(report).withColumn(
+        "outcome", F.when(_is_bad(report), "rejected").when(F.col("status").eqNullSafe(PENDING), "pending")
+        .otherwise("staged"))
+    staged = F.struct(*_staged_values(inserted_at))
+    chosen = judged.select(
+        F.when(~rejected, staged).alias("staged"),
+        F.when(rejected, _reason(report)).alias("reject_reason"),
+        F.when(rejected, texts).alias("report_row"), rejected.alias("rejected"), *origin, "outcome")
+    return chosen.select("staged.*", *origin, "reject_reason", "report_row", "rejected", "outcome")
+
+
 def staged_or_rejected(report: DataFrame, inserted_at: Column | None = None) -> DataFrame:
     """Both outcomes in one pass: staged columns, ``reject_reason``, ``report_row``, ``rejected``.
 
-    A rejected row keeps its texts in ``report_row`` and has NULL staged columns.
+    A rejected row keeps its texts in ``report_row`` and has NULL staged columns. Where the report tells the rows'
+    origin (``archive``, ``member``, ``row_no``), both kinds keep it.
     """
-    texts = F.struct(*schemas.REPORT_COLUMNS.values())
-    outcome = _converted(report).select("*", _is_bad(report).alias("rejected")).filter(
-        F.col("rejected") | ~F.col("status").eqNullSafe(PENDING))
-    staged = F.struct(*_staged_values(inserted_at))
-    chosen = outcome.select(
-        F.when(~F.col("rejected"), staged).alias("staged"),
-        F.when(F.col("rejected"), _reason(report)).alias("reject_reason"),
-        F.when(F.col("rejected"), texts).alias("report_row"), "rejected")
-    return chosen.select("staged.*", "reject_reason", "report_row", "rejected")
+    return staged_and_pending(report, inserted_at).filter("outcome <> 'pending'").drop("outcome")
 
 
 def dedupe_rows(staged: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acerto.config import REPORT_MEMBER_PREFIX, ReconConfig
@@ -115,6 +115,46 @@ _MEMBER = (f"concat(if(event_id % 4 <> 0, '{REPORT_MEMBER_PREFIX}', 'OUTRO'), '_
            " as member")
 
 
+#: Texts that cannot be loaded, by the remainder of the event's number.
+_FAULTS = {
+    "Data Hora": {1: "'31/02/2024 10:00:00.0'", 2: "'yesterday'"},
+    "Valor": {3: "'12,50'", 4: "'1e400'"},
+    "PSP Recebedor": {5: "'abc'"}, "Agência Recebedora": {6: "'1d'"}, "PSP Pagador": {7: "'0x1F'"}, "Agência Pagadora": {8: "'9e30'"},
+    "Conta Recebedora": {9: "'Infinity'"}, "Conta Pagadora": {10: "'1e30'"},
+    "CPF/CNPJ Recebedora": {11: "'1,5'"}, "CPF/CNPJ Pagador": {12: "'x'"},
+    "Tipo Operação": {13: "'Outra'", 14: "null", 15: "'Geral'", 16: "'Aporte'"},
+    "IdFimAFim": {15: "null"}, "NumCtrlSTR": {16: "null"},
+}
+_FAULT_PERIOD = 211
+
+
+def report_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report under its staged names, with every kind of text that cannot be loaded."""
+    def text(name: str) -> str:
+        cases = " ".join(f"when {k} then {fault}" for k, fault in _FAULTS.get(name, {}).items())
+        base = _REPORT_TEXT[name]
+        return f"case event_id % {_FAULT_PERIOD} {cases} else {base} end" if cases else base
+
+    found = _table(spark, sf_dir, "events").selectExpr(*[f"{text(name)} as `{name}`" for name in _REPORT_TEXT])
+    return rename_columns(found)
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as delimited lines, by member: names over two lines with quotes, rows with a field too many and with two too few."""
+    names = [name for name in _REPORT_TEXT]
+    events = _table(spark, sf_dir, "events").selectExpr("event_id", _MEMBER, *[f"{t} as `{n}`" for n, t in _REPORT_TEXT.items()])
+    spread = F.when(F.col("event_id") % 31 == 0, F.concat(
+        F.col("Nome Cliente Pagador"), F.lit('\nsecond "line"; of '), F.col("event_id"))).otherwise(F.col("Nome Cliente Pagador"))
+    texts = events.withColumn("Nome Cliente Pagador", spread)
+    cells = [F.col(f"`{name}`") for name in names]
+
+    def line(columns: list) -> Column:
+        return F.to_csv(F.struct(*columns), {"sep": ";", "escape": '"'})
+
+    return texts.select("event_id", "member", F.when(F.col("event_id") % 37 == 0, F.concat(line(cells), F.lit(";more")))
+                        .when(F.col("event_id") % 41 == 0, line(cells[:-2])).otherwise(line(cells)).alias("line"))
+
+
 def report_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report with its own headers, all text."""
     return report_members(spark, sf_dir).drop("member")

@@ -15,6 +15,41 @@ def _day(column: str) -> str:
     return f"cast(({column} at time zone 'UTC') at time zone '{CONFIG.zone}' as date)"
 
 
+_TYPED = """
+               strptime(date_day, '%d/%m/%Y %H:%M:%S.%f') as date_day, operation, end_to_end_id,
+               end_to_end_id_original, str_pix_control_number, direction,
+               cast(case direction
+                 when 'Credito' then cast(round_even(cast(amount as double) * 100, 0) as bigint)
+                 when 'Debito' then -cast(round_even(cast(amount as double) * 100, 0) as bigint)
+                 else 9999999999999 end as bigint) as amount,
+               coalesce(cast(receiver_psp as bigint), 0) as receiver_psp,
+               coalesce(cast(receiver_branch_number as bigint), 0) as receiver_branch_number,
+               coalesce(try_cast(receiver_account_number as bigint), 0)
+                 as receiver_account_number,
+               cast(cast(coalesce(replace(receiver_national_document_id, ',', '.'), '0')
+                 as double) as bigint) as receiver_national_document_id,
+               receiver_name,
+               coalesce(cast(sender_psp as bigint), 0) as sender_psp,
+               coalesce(cast(sender_branch_number as bigint), 0) as sender_branch_number,
+               coalesce(try_cast(sender_account_number as bigint), 0) as sender_account_number,
+               cast(cast(coalesce(replace(sender_national_document_id, ',', '.'), '0')
+                 as double) as bigint) as sender_national_document_id,
+               sender_name, status, sender_document_kind, amount is null as no_amount"""
+_KEYED = """
+               * exclude (no_amount),
+               concat(case when operation in ('Geral', 'Devolucao') then end_to_end_id
+                           else str_pix_control_number end,
+                      ',', amount, ',', coalesce(status, 'nan')) as pix_key"""
+
+
+def _is_number(text: str) -> str:
+    return f"coalesce(regexp_full_match({text}, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*'), false)"
+
+
+def _finite(text: str, most: float = 9.2e18) -> str:
+    return f"({_is_number(text)} and coalesce(abs(try_cast({text} as double)) < {most!r}, false))"
+
+
 # Named relations in dependency order; each may use the ones before it.
 _RELATIONS: dict[str, str] = {
     "base": """
@@ -92,33 +127,53 @@ _RELATIONS: dict[str, str] = {
                case when event_id % 2 = 0 then 'MANUAL' else 'QRCODE' end
                  as sender_document_kind
         from events""",
-    "typed": """
-        select strptime(date_day, '%d/%m/%Y %H:%M:%S.%f') as date_day, operation, end_to_end_id,
-               end_to_end_id_original, str_pix_control_number, direction,
-               cast(case direction
-                 when 'Credito' then cast(round_even(cast(amount as double) * 100, 0) as bigint)
-                 when 'Debito' then -cast(round_even(cast(amount as double) * 100, 0) as bigint)
-                 else 9999999999999 end as bigint) as amount,
-               coalesce(cast(receiver_psp as bigint), 0) as receiver_psp,
-               coalesce(cast(receiver_branch_number as bigint), 0) as receiver_branch_number,
-               coalesce(try_cast(receiver_account_number as bigint), 0)
-                 as receiver_account_number,
-               cast(cast(coalesce(replace(receiver_national_document_id, ',', '.'), '0')
-                 as double) as bigint) as receiver_national_document_id,
-               receiver_name,
-               coalesce(cast(sender_psp as bigint), 0) as sender_psp,
-               coalesce(cast(sender_branch_number as bigint), 0) as sender_branch_number,
-               coalesce(try_cast(sender_account_number as bigint), 0) as sender_account_number,
-               cast(cast(coalesce(replace(sender_national_document_id, ',', '.'), '0')
-                 as double) as bigint) as sender_national_document_id,
-               sender_name, status, sender_document_kind, amount is null as no_amount
-        from report_raw""",
-    "staged": """
-        select * exclude (no_amount),
-               concat(case when operation in ('Geral', 'Devolucao') then end_to_end_id
-                           else str_pix_control_number end,
-                      ',', amount, ',', coalesce(status, 'nan')) as pix_key
-        from typed where not no_amount and status is distinct from 'Pendente'""",
+    "faulty": """
+        select * exclude (k) replace (
+          case k when 1 then '31/02/2024 10:00:00.0' when 2 then 'yesterday' else date_day end as date_day,
+          case k when 3 then '12,50' when 4 then '1e400' else amount end as amount,
+          case k when 5 then 'abc' else receiver_psp end as receiver_psp,
+          case k when 6 then '1d' else receiver_branch_number end as receiver_branch_number,
+          case k when 7 then '0x1F' else sender_psp end as sender_psp,
+          case k when 8 then '9e30' else sender_branch_number end as sender_branch_number,
+          case k when 9 then 'Infinity' else receiver_account_number end as receiver_account_number,
+          case k when 10 then '1e30' else sender_account_number end as sender_account_number,
+          case k when 11 then '1,5' else receiver_national_document_id end as receiver_national_document_id,
+          case k when 12 then 'x' else sender_national_document_id end as sender_national_document_id,
+          case k when 13 then 'Outra' when 14 then null when 15 then 'Geral' when 16 then 'Aporte' else operation end as operation,
+          case k when 15 then null else end_to_end_id end as end_to_end_id,
+          case k when 16 then null else str_pix_control_number end as str_pix_control_number)
+        from (select *, cast(substr(str_pix_control_number, 4) as bigint) % 211 as k from report_raw)""",
+    "judged": f"""
+        select {_STAGED}, case
+          when date_day is not null and try_strptime(date_day, '%d/%m/%Y %H:%M:%S.%f') is null then 'malformed date_day'
+          when amount is null then 'missing amount'
+          when not {_finite('amount', 9.2e16)} then 'malformed amount'
+          {' '.join(f"when {name} is not null and not {_finite(name)} then 'malformed {name}'"
+                    for name in ('receiver_psp', 'receiver_branch_number', 'sender_psp', 'sender_branch_number'))}
+          {' '.join(f"when lower({name}) = 'infinity' or ({_is_number(name)} and not {_finite(name)}) then 'malformed {name}'"
+                    for name in ('receiver_account_number', 'sender_account_number'))}
+          {' '.join(f"when {name} is not null and not ({_finite(f"replace({name}, ',', '.')")} and coalesce("
+                    f"try_cast(replace({name}, ',', '.') as double) % 1 = 0, false)) then 'malformed {name}'"
+                    for name in ('receiver_national_document_id', 'sender_national_document_id'))}
+          when status = 'Pendente' then null
+          when operation is null or operation not in ('Geral', 'Devolucao', 'Aporte', 'Retirada') then 'unknown operation'
+          when operation in ('Geral', 'Devolucao') and end_to_end_id is null then 'missing key id'
+          when operation in ('Aporte', 'Retirada') and str_pix_control_number is null then 'missing key id' end as reject_reason
+        from faulty""",
+    "in_files": f"""
+        select event_id, event_id % 37 = 0 as surplus, r.* replace (
+          case when event_id % 31 = 0 then concat(sender_name, chr(10), 'second "line"; of ', event_id) else sender_name end as sender_name,
+          case when event_id % 41 = 0 then null else status end as status,
+          case when event_id % 41 = 0 then null else sender_document_kind end as sender_document_kind)
+        from (select *, cast(substr(str_pix_control_number, 4) as bigint) as event_id from report_raw) r""",
+    "in_archives": """
+        select * from in_files where event_id % 8 <> 0 and starts_with(member, 'JDPI_RELATORIO_FINANCEIRO')""",
+    "typed": f"select {_TYPED} from report_raw",
+    "staged": f"select {_KEYED} from typed where not no_amount and status is distinct from 'Pendente'",
+    "stored": f"""
+        select {_KEYED.replace('exclude (no_amount)', 'exclude (no_amount, surplus)')}, not surplus as stored
+        from (select {_TYPED}, surplus from in_archives)
+        where not no_amount and status is distinct from 'Pendente'""",
     "jd": f"""
         select {_day('date_day')} as date_day, end_to_end_id, direction as operation, amount,
                pix_key, concat(pix_key, ',', {_day('date_day')}) as tx_key, 'jd' as source
@@ -256,6 +311,11 @@ def _report_values() -> str:
     return f"select date_day as date, {columns} from recon"
 
 
+_LOADED = "timestamp '2024-06-01 00:00:00' as inserted_at"
+# A row with too many fields has none of its columns.
+_READ = ", ".join(f"case when not surplus then {name} end as {name}" for name in REPORT_COLUMNS.values()) + """,
+        case when surplus then 'expected 19 fields, saw 20' end as problem,
+        case when surplus then str_pix_control_number end as lost_number"""
 _CENTS = "cast(round_even(cast(amount as double) * 100, 0) as bigint)"
 _UNMATCHED = ("select tx_key, pix_key, end_to_end_id, date_day, amount, operation, source,"
               " mismatch_classification from unmatched")
@@ -309,15 +369,37 @@ _FINAL: dict[str, str] = {
         select end_to_end_id, str_pix_control_number, operation, pix_key from staged""",
     "stage_project": f"""
         select {_STAGED}, concat(end_to_end_id, ',', amount) as pix_key from report_raw""",
-    "stage_report": "select * from staged",
-    "stage_rejects": f"""
-        select {_STAGED}, 'missing amount' as reject_reason from report_raw
-        where amount is null""",
+    "stage_report": f"select *, {_LOADED} from staged",
+    "stage_rejects": f"select {_STAGED}, reject_reason from judged where reject_reason is not null",
+    "stage_outcomes": """
+        select case when reject_reason is not null then 'rejected' when status = 'Pendente' then 'pending' else 'staged' end as outcome,
+               reject_reason, count(*) as nb_rows, count(*) filter (reject_reason is null) as nb_loaded
+        from judged group by all""",
+    "loose_file_rows": f"select {_READ} from in_files",
+    "archive_member_rows": f"""
+        select concat(event_id % 8, '.zip') as archive, member, {_READ} from in_archives
+        union all by name
+        select '0.zip' as archive, 'unreadable' as problem""",
+    "ingest_staged": f"select * exclude (stored), {_LOADED} from stored where stored",
+    "ingest_rejects": """
+        select concat(event_id % 8, '.zip') as archive, member,
+               case when not surplus then str_pix_control_number end as str_pix_control_number,
+               case when surplus then 'expected 19 fields, saw 20' else 'missing amount' end as reason
+        from in_archives where surplus or amount is null
+        union all select '0.zip', null, null, 'unreadable'""",
+    "ingest_counts": """
+        select count(*) + 1 as read, count(*) filter (not bad and not pending) as staged, count(*) filter (bad) + 1 as rejected,
+               count(*) filter (not bad and pending) as pending, count(*) filter (not bad and not pending) as held_staged,
+               count(*) filter (bad) + 1 as held_rejected
+        from (select surplus or amount is null as bad, coalesce(status = 'Pendente', false) as pending from in_archives)""",
+    "job_curate": f"""
+        select distinct * exclude (stored) replace (concat(end_to_end_id, ',', amount) as pix_key), {_LOADED} from stored where stored""",
+    "append_batches": f"select *, {_LOADED} from staged",
     "preview_top5": "select * from staged order by date_day, end_to_end_id limit 5",
-    "dedupe_rows": """
-        select distinct * from (select * from staged union all select * from staged)""",
-    "curate_jd": """
-        select distinct * replace (concat(end_to_end_id, ',', amount) as pix_key)
+    "dedupe_rows": f"""
+        select distinct *, {_LOADED} from (select * from staged union all select * from staged)""",
+    "curate_jd": f"""
+        select distinct * replace (concat(end_to_end_id, ',', amount) as pix_key), {_LOADED}
         from (select * from staged union all select * from staged)""",
     "utc_to_local_day": f"""
         select transfer_id, utc_datetime, {_day('utc_datetime')} as date_day from ledger""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,12 +14,13 @@ from acerto import functions as fn
 from acerto.config import REPORT_MEMBER_PREFIX
 from acerto.functions import numbers
 from acerto.operators import daily, jd as jd_side, ledger as ledger_side, match, report, staging
-from acerto.plans import mapping
+from acerto.plans import job, mapping
 from acerto.plans.mapping import CONFIG
 from acerto.plans.reconcile import reconcile_daily, reconcile_daily_stepwise
 from acerto.plans.sql import reconcile_daily_sql
 from acerto.schemas import GATEWAY_COLUMNS, JD_COLUMNS, LEDGER_COLUMNS, REPORT_COLUMNS
-from acerto.sources import archives, delimited
+from acerto.sources import archives, delimited, scratch, tables
+from acerto.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -29,7 +30,12 @@ OTHER_DAY = replace(CONFIG, as_of=date(1998, 5, 30))
 
 
 def _loaded(day: int = 1) -> Column:
-    return F.lit(datetime(2024, 6, day)).cast("timestamp")
+    return F.lit(f"2024-06-{day:02} 00:00:00").cast("timestamp")
+
+
+def _unzoned(staged: DataFrame) -> DataFrame:
+    """The load time as the session's clock shows it, which is how ``_loaded`` is written."""
+    return staged.withColumn("inserted_at", F.col("inserted_at").cast("timestamp_ntz"))
 
 
 def query(function: Query) -> Query:
@@ -135,6 +141,126 @@ def archive_rows(spark: SparkSession, sf: str) -> DataFrame:
             .select("member", *REPORT_COLUMNS.values()))
 
 
+def _loose_files(spark: SparkSession, sf: str) -> str:
+    """A folder with the report's lines in files, each with its header."""
+    header = ";".join(REPORT_COLUMNS)
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([header])], names=["line"])
+        yield from batches
+
+    folder = scratch.new_folder(spark, "loose-files")
+    mapping.report_lines(spark, sf).select("line").mapInArrow(headed, "line string").write.text(folder)
+    return folder
+
+
+def _zip_files(spark: SparkSession, sf: str) -> str:
+    """A folder with the report's lines in archives, one for each remainder of the event's number, with a broken one."""
+    header, folder = ";".join(REPORT_COLUMNS), scratch.new_folder(spark, "archives")
+    base = folder.removeprefix("file:")
+    base = "/" + base.lstrip("/") if base != folder else base
+
+    def write(table: pa.Table) -> pa.Table:
+        import os
+        import zipfile
+
+        import pyarrow as pa
+
+        number = table.column("number")[0].as_py()
+        os.makedirs(base, exist_ok=True)
+        partial = f"{base}/.{number}.{os.getpid()}"
+        texts: dict[str, list[str]] = {}
+        for name, line in zip(table.column("member").to_pylist(), table.column("line").to_pylist()):
+            texts.setdefault(name, [header]).append(line)
+        with zipfile.ZipFile(partial, "w", zipfile.ZIP_DEFLATED) as zipped:
+            for name, lines in sorted(texts.items()):
+                zipped.writestr(name, "\n".join(lines) + "\n")
+        if number == 0:  # what a transfer that broke off leaves
+            with open(partial, "r+b") as file:
+                file.truncate(os.path.getsize(partial) // 2)
+        os.replace(partial, f"{base}/{number}.zip")
+        return pa.table({"number": pa.array([number], pa.int64())})
+
+    lines = mapping.report_lines(spark, sf).select((F.col("event_id") % 8).alias("number"), "member", "line")
+    lines.groupBy("number").applyInArrow(write, "number long").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def _with_problem(rows: DataFrame) -> DataFrame:
+    """``parse_error`` cut to what a row's problem is and, where a row has too many fields, the number it holds."""
+    return rows.withColumns({
+        "problem": F.regexp_extract("parse_error", "^[^:]*", 0),
+        "lost_number": F.nullif(F.regexp_extract("parse_error", ";(STR[0-9]+);", 1), F.lit(""))}).drop("parse_error")
+
+
+@query
+def loose_file_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Report lines in loose files, read in small splits: quoted line breaks, surplus and short rows."""
+    found = delimited.scan_delimited(spark, _loose_files(spark, sf), split_bytes=64 << 10)
+    return _with_problem(staging.rename_columns(found.drop("archive", "member", "row_no")))
+
+
+@query
+def archive_member_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Report lines in archives, members dealt to tasks; one archive is cut off."""
+    found = archives.expand_members(archives.list_archives(spark, _zip_files(spark, sf)))
+    return _with_problem(staging.rename_columns(found.drop("row_no")).withColumn("archive", F.regexp_extract("archive", "[0-9]+[.]zip$", 0)))
+
+
+def _ingested(spark: SparkSession, sf: str) -> tuple[str, list[dict[str, int]]]:
+    """A raw table written by the stream in batches of three archives, and the stream's own row counts."""
+    folder, raw = _zip_files(spark, sf), scratch.new_folder(spark, "raw")
+    running = ingest.ingest_new(spark, folder, raw, scratch.new_folder(spark, "progress"), files_per_batch=3, inserted_at=_loaded())
+    running.awaitTermination()
+    return raw, ingest.row_counts(running)
+
+
+@query
+def ingest_staged(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream loaded."""
+    return _unzoned(tables.read_staged(spark, _ingested(spark, sf)[0]))
+
+
+@query
+def ingest_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stream set aside, with its origin."""
+    found = tables.read_rejects(spark, _ingested(spark, sf)[0])
+    return found.select(F.regexp_extract("archive", "[0-9]+[.]zip$", 0).alias("archive"), "member", "str_pix_control_number",
+                        F.regexp_extract("reject_reason", "^[^:]*", 0).alias("reason"))
+
+
+@query
+def ingest_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream's own account of its rows, over all batches, beside what the table holds."""
+    raw, counts = _ingested(spark, sf)
+    said = spark.createDataFrame([(c["read"], c["staged"], c["rejected"], c["pending"]) for c in counts],
+                                 "read long, staged long, rejected long, pending long")
+    rejected = F.col("rejected").cast("boolean")
+    held = spark.read.parquet(raw).select((~rejected).cast("long").alias("held_staged"), rejected.cast("long").alias("held_rejected"))
+    both = said.unionByName(held, allowMissingColumns=True)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns])
+
+
+@query
+def job_curate(spark: SparkSession, sf: str) -> DataFrame:
+    """The curated table after the stream and a second run of the curation, which finds nothing new."""
+    raw, curated = _ingested(spark, sf)[0], scratch.new_folder(spark, "curated")
+    for _ in range(2):
+        job.curate(spark, raw, curated)
+    return _unzoned(spark.read.parquet(curated).drop("report_day"))
+
+
+@query
+def append_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged rows appended in two batches, one of them twice."""
+    staged, target = staging.stage_report(mapping.report(spark, sf), _loaded()), scratch.new_folder(spark, "batches")
+    for batch, test in (("geral", "operation = 'Geral'"), ("other", "operation <> 'Geral'"), ("geral", "operation = 'Geral'")):
+        tables.append_batch(staged.filter(test), target, batch)
+    return _unzoned(spark.read.parquet(target).drop("batch"))
+
+
 @query
 def union_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Members of which one has no initiation column and one a column nobody asked for."""
@@ -227,12 +353,20 @@ def stage_project(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stage_report(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stage_report(mapping.report(spark, sf), _loaded()).drop("inserted_at")
+    return _unzoned(staging.stage_report(mapping.report(spark, sf), _loaded()))
 
 
 @query
 def stage_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stage_rejects(mapping.report(spark, sf))
+    """Every reason for which a row is not loaded."""
+    return staging.stage_rejects(mapping.report_faulty(spark, sf))
+
+
+@query
+def stage_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each outcome and reason, from the one pass that gives staged and rejected rows."""
+    return (staging.staged_and_pending(mapping.report_faulty(spark, sf), _loaded())
+            .groupBy("outcome", "reject_reason").agg(F.count("*").alias("nb_rows"), F.count("inserted_at").alias("nb_loaded")))
 
 
 @query
@@ -249,12 +383,12 @@ def _loaded_twice(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dedupe_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.dedupe_rows(_loaded_twice(spark, sf)).drop("inserted_at")
+    return _unzoned(staging.dedupe_rows(_loaded_twice(spark, sf)))
 
 
 @query
 def curate_jd(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.curate_jd(_loaded_twice(spark, sf)).drop("inserted_at")
+    return _unzoned(staging.curate_jd(_loaded_twice(spark, sf)))
 
 
 # Both sides

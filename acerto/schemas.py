@@ -37,6 +37,9 @@ ID_COLUMNS = ("receiver_psp", "receiver_branch_number", "sender_psp", "sender_br
 ACCOUNT_COLUMNS = ("receiver_account_number", "sender_account_number")
 DOCUMENT_COLUMNS = ("receiver_national_document_id", "sender_national_document_id")
 
+#: Where a report row came from.
+ORIGIN_COLUMNS = ("archive", "member", "row_no")
+
 STAGED_COLUMNS = [*REPORT_COLUMNS.values(), "inserted_at", "pix_key"]
 
 REPORT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in REPORT_COLUMNS])

@@ -7,21 +7,52 @@ failure. Moving archives away is housekeeping on top and lags one batch behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from acerto.config import REPORT_MEMBER_PREFIX
 from acerto.operators import staging
-from acerto.sources.archives import BINARY_FILE_SCHEMA, expand_archives, list_archives
-from acerto.sources.tables import append_staged
+from acerto.sources import tables
+from acerto.sources.archives import BINARY_FILE_SCHEMA, expand_archives, expand_members, list_archives, tasks_can_open
 
+#: The name of the row counts in a stream's progress.
+ROW_COUNTS = "report_rows"
 
-def stage_archives(archives: DataFrame, prefix: str = REPORT_MEMBER_PREFIX) -> DataFrame:
-    """Archives to staged and rejected rows, in one pass. Works on batches and streams."""
-    return (expand_archives(archives, prefix=prefix)
-            .drop("archive", "member", "row_no")
-            .transform(staging.rename_columns)
-            .transform(staging.staged_or_rejected))
+
+def stage_archives(archives: DataFrame, prefix: str = REPORT_MEMBER_PREFIX, by_member: bool = False,
+                   tasks: int | None = None, inserted_at: Column | None = None) -> DataFrame:
+    """Archives to staged and rejected rows with their origin, in one pass. Works on batches and streams.
+
+    ``by_member`` deals the members of an archive to ``tasks``, which then open it themselves. The rows are counted on the
+    way, under ``ROW_COUNTS`` (see ``row_counts``).
+    """
+    expanded = (expand_members(archives, prefix=prefix, tasks=tasks) if by_member
+                else expand_archives(archives, prefix=prefix))
+    report = staging.rename_columns(expanded)
+    counted = _counted(staging.staged_and_pending(report, inserted_at))
+    return counted.filter("outcome <> 'pending'").drop("outcome")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows``, observed: how many there are and how many of each outcome."""
+    def of(outcome: str) -> Column:
+        return F.count_if(F.col("outcome") == outcome).alias(outcome)
+
+    return rows.observe(ROW_COUNTS, F.count(F.lit(1)).alias("read"), of("staged"), of("rejected"), of("pending"))
+
+
+def row_counts(query: StreamingQuery) -> list[dict[str, int]]:
+    """Of each batch of a stream that wrote ``stage_archives``: its number, rows read, staged, rejected and pending.
+
+    Rows read are the others' sum. The progress of the last 100 batches is at hand.
+    """
+    found = []
+    for progress in query.recentProgress:
+        counts = progress.observedMetrics.get(ROW_COUNTS)
+        if counts is not None:
+            found.append({"batch": progress.batchId, **counts.asDict()})
+    return found
 
 
 def ingest_batch(spark: SparkSession, folder: str, target: str) -> None:
@@ -30,7 +61,19 @@ def ingest_batch(spark: SparkSession, folder: str, target: str) -> None:
     Use this or ``ingest_new`` for a table, not both: a table written by a stream
     is read through the stream's commit log, which knows no other files.
     """
-    append_staged(stage_archives(list_archives(spark, folder)), target)
+    tables.append_staged(stage_archives(list_archives(spark, folder), by_member=tasks_can_open(folder)), target)
+
+
+def ingest_unread(spark: SparkSession, folder: str, target: str) -> None:
+    """Append the archives of the folder that the table has no rows of, so a repeated call adds nothing.
+
+    An archive goes by its path. One without a single row to keep is read again by each call, which adds nothing either.
+    """
+    found = list_archives(spark, folder)
+    if tables.has_files(spark, target):
+        known = spark.read.parquet(target).select(F.col("archive").alias("path")).distinct()
+        found = found.join(known, "path", "left_anti")
+    tables.append_staged(stage_archives(found, by_member=tasks_can_open(folder)), target)
 
 
 def archive_stream(spark: SparkSession, folder: str, done_folder: str | None = None,
@@ -48,11 +91,12 @@ def archive_stream(spark: SparkSession, folder: str, done_folder: str | None = N
 
 
 def ingest_new(spark: SparkSession, folder: str, target: str, checkpoint: str,
-               done_folder: str | None = None, files_per_batch: int = 1000) -> StreamingQuery:
+               done_folder: str | None = None, files_per_batch: int = 1000,
+               inserted_at: Column | None = None) -> StreamingQuery:
     """Append what is new in the folder since the last run with this checkpoint, then stop."""
-    outcomes = stage_archives(
-        archive_stream(spark, folder, done_folder, files_per_batch))
-    return (outcomes.writeStream.format("parquet").outputMode("append")
-            .partitionBy("rejected")
+    outcomes = stage_archives(archive_stream(spark, folder, done_folder, files_per_batch),
+                              by_member=tasks_can_open(folder), inserted_at=inserted_at)
+    return (tables.with_report_day(outcomes).writeStream.format("parquet").outputMode("append")
+            .partitionBy(*tables.RAW_PARTITIONS)
             .option("path", target).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
