@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Codes that appear in the provider report.
@@ -34,7 +34,8 @@ class ReconConfig:
     """What a deployment sets: dates, zone, ledger codes, accounts and links.
 
     ``as_of`` is the day of the run; everything reported ends the day before.
-    Left at None it is the current date in ``zone``.
+    Left at None it is the current date in ``zone``. Excluded accounts are a tuple or, if they are many,
+    a DataFrame of one column.
     """
 
     as_of: date | None = None
@@ -43,7 +44,7 @@ class ReconConfig:
     zone: str = "America/Sao_Paulo"
     direction_in: str = "TransferIn"
     direction_out: str = "TransferOut"
-    excluded_accounts: tuple = ()
+    excluded_accounts: tuple | DataFrame = ()
     pix_in_link: str = ""
     pix_out_link: str = ""
 

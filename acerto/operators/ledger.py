@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from acerto.config import INTERNAL_TRANSFER, PIX_IN, PIX_OUT, SOURCE_LEDGER, ReconConfig
 from acerto.functions import join_text, local_day, pix_key, tx_key
 from acerto.operators.counted import COPIES, collapse, replicate
+from acerto.sources.scratch import new_folder
 
 BASE_COLUMNS = ("date_day", "end_to_end_id", "operation", "amount")
 
@@ -58,26 +59,55 @@ def signed_by_direction(direction: Column, amount: Column, config: ReconConfig)
     return sign * amount
 
 
-def ledger_transactions_aux(ledger: DataFrame, gateway: DataFrame,
-                            config: ReconConfig) -> DataFrame:
-    """Linked ledger rows of the window: local day, id, operation, signed amount, source.
-
-    Filters and projections come before the join, so only five narrow columns
-    and the rows that count are shuffled.
-    """
+def signed_rows(ledger: DataFrame, config: ReconConfig) -> DataFrame:
+    """Ledger rows that count: transfer, local day, operation, signed amount."""
     wanted = (ledger.filter(F.col("type").isin(PIX_IN, PIX_OUT))
               .transform(ledger_day_range, config)
               .transform(exclude_accounts, config.excluded_accounts))
-    narrow = wanted.select(
+    return wanted.select(
         "transfer_id",
         local_day(F.col("utc_datetime"), config.zone).alias("date_day"),
         F.col("type").alias("operation"),
         signed_by_direction(F.col("direction"), F.col("amount"), config).alias("sided_amount"))
-    return (ledger_gateway_join(narrow, gateway.select("ledger_transfer_id", "end_to_end_id"))
+
+
+def linked_rows(signed: DataFrame, gateway: DataFrame) -> DataFrame:
+    """Signed ledger rows with the ids of their transfers: local day, id, operation, signed amount, source."""
+    return (ledger_gateway_join(signed, gateway.select("ledger_transfer_id", "end_to_end_id"))
             .select("date_day", "end_to_end_id", "operation", "sided_amount",
                     F.lit(SOURCE_LEDGER).alias("source")))
 
 
+def ledger_transactions_aux(ledger: DataFrame, gateway: DataFrame,
+                            config: ReconConfig) -> DataFrame:
+    """Linked ledger rows of the window: local day, id, operation, signed amount, source.
+
+    Filters and projections come before the join, so only five narrow columns
+    and the rows that count are shuffled.
+    """
+    return linked_rows(signed_rows(ledger, config), gateway)
+
+
+def heavy_transfers(ledger: DataFrame, gateway: DataFrame, least: int) -> DataFrame | None:
+    """Transfers with over ``least`` rows on both sides, whose pairs would be many; None if there are none.
+
+    All other transfers make at most ``least`` pairs for each row of the larger side. Runs a job over the one column
+    of the links and, only if some transfer has that many, one over the ledger's; the result is a written table.
+    """
+    def counted(rows: DataFrame, column: str) -> DataFrame:
+        return (rows.groupBy(F.col(column).alias("transfer_id")).agg(F.count("*").alias("n"))
+                .filter((F.col("n") > least) & F.col("transfer_id").isNotNull()).select("transfer_id"))
+
+    linked = counted(gateway, "ledger_transfer_id")
+    if linked.isEmpty():
+        return None
+    spark = ledger.sparkSession
+    path = new_folder(spark, "heavy-transfers")
+    counted(ledger, "transfer_id").join(linked, "transfer_id", "left_semi").write.parquet(path)
+    found = spark.read.parquet(path)
+    return None if found.isEmpty() else found
+
+
 def with_keys(base: DataFrame) -> DataFrame:
     """Add the source and the three text keys to (day, id, operation, amount) rows."""
     key = pix_key(F.col("end_to_end_id"), F.col("amount"))

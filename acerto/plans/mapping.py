@@ -71,6 +71,21 @@ def gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
                         " as end_to_end_id"))
 
 
+def _gathered(column: str) -> Column:
+    """Some transfers, many together under one number."""
+    return F.expr(f"if({column} % 7 = 0, {column} - {column} % 700, {column})")
+
+
+def heavy_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with transfers of many rows."""
+    return ledger(spark, sf_dir).withColumn("transfer_id", _gathered("transfer_id"))
+
+
+def heavy_gateway(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links with transfers of many links."""
+    return gateway(spark, sf_dir).withColumn("ledger_transfer_id", _gathered("ledger_transfer_id"))
+
+
 def jd_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _payments(spark, sf_dir).filter("k % 41 <> 0").selectExpr(
         "if(k % 47 = 0, ts + interval 1 day, ts) as date_day",

@@ -262,8 +262,13 @@ _RELATIONS: dict[str, str] = {
 }
 
 
-def _sql(final: str) -> str:
-    relations = ",\n".join(f"{name} as ({text})" for name, text in _RELATIONS.items())
+def _gathered(relation: str, column: str) -> str:
+    return (f"select * replace (case when {column} % 7 = 0 then {column} - {column} % 700 else {column} end as {column})"
+            f" from ({_RELATIONS[relation]})")
+
+
+def _sql(final: str, **changed: str) -> str:
+    relations = ",\n".join(f"{name} as ({changed.get(name, text)})" for name, text in _RELATIONS.items())
     return f"with {relations}\n{final}"
 
 
@@ -440,6 +445,7 @@ _FINAL: dict[str, str] = {
     "consolidated_ledger": "select * from ledger_daily",
     "unmatched_daily": "select * from unmatched_daily",
     "recon_daily": "select * from recon order by date_day desc",
+    "recon_daily_account_table": "select * from recon order by date_day desc",
     "recon_daily_stepwise": "select * from recon order by date_day desc",
     "recon_daily_sql": "select * from recon order by date_day desc",
     "report_days_monday": """
@@ -452,4 +458,5 @@ _FINAL: dict[str, str] = {
 
 
 def all_oracles() -> dict[str, str]:
-    return {name: _sql(final) for name, final in _FINAL.items()}
+    heavy = _sql(_FINAL["recon_daily"], ledger=_gathered("ledger", "transfer_id"), gateway=_gathered("gateway", "ledger_transfer_id"))
+    return {name: _sql(final) for name, final in _FINAL.items()} | {"recon_daily_heavy": heavy}

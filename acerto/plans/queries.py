@@ -506,6 +506,20 @@ def recon_daily(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile_daily(*_inputs(spark, sf), CONFIG)
 
 
+@query
+def recon_daily_heavy(spark: SparkSession, sf: str) -> DataFrame:
+    """Transfers with many rows and many links, whose pairs are counted but not formed."""
+    return reconcile_daily(mapping.heavy_ledger(spark, sf), mapping.heavy_gateway(spark, sf), mapping.jd_curated(spark, sf),
+                           CONFIG, heavy=4)
+
+
+@query
+def recon_daily_account_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The SQL form with the excluded accounts in a table, which also has a NULL."""
+    accounts = mapping.ledger(spark, sf).select("account_id").distinct().filter("account_id between 1 and 15 or account_id is null")
+    return reconcile_daily_sql(*_inputs(spark, sf), replace(CONFIG, excluded_accounts=accounts))
+
+
 @query
 def recon_daily_stepwise(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile_daily_stepwise(*_inputs(spark, sf), CONFIG)

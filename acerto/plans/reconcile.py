@@ -31,7 +31,7 @@ def reconcile_daily_stepwise(ledger: DataFrame, gateway: DataFrame, jd: DataFram
 
 
 def reconcile_daily(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
-                    config: ReconConfig) -> DataFrame:
+                    config: ReconConfig, heavy: int | None = 100) -> DataFrame:
     """Daily result from one read of each table and, but for the gateway link, no join.
 
     1. Both sides meet in one aggregation on (pix_key, day): a key is unmatched
@@ -44,17 +44,80 @@ def reconcile_daily(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
        this over the id's days sees one row per day, however many transactions
        the id has.
     4. The fitting case is picked and summed per calendar day.
+
+    The gateway link pairs the rows and the links of a transfer. Of transfers with more than ``heavy`` of both, the pairs
+    are not formed but counted (``heavy_sums``); whether there are any is looked up by a job when this is called, unless ``heavy`` is None.
     """
-    transactions = ledger_side.ledger_transactions_aux(ledger, gateway, config)
+    signed = ledger_side.signed_rows(ledger, config)
     reported = jd_side.jd_transactions(
         jd_side_window(jd, config), config).filter(daily.in_calendar(config))
-    per_day = pick_case(per_id_day(per_key(transactions, reported)))
+    found = None if heavy is None else ledger_side.heavy_transfers(ledger, gateway, heavy)
+    if found is None:
+        sums = per_id_day(per_key(ledger_side.linked_rows(signed, gateway), reported))
+    else:
+        light = ledger_side.linked_rows(signed.join(found, "transfer_id", "left_anti"), gateway)
+        groups, links = heavy_groups(signed, found), heavy_links(gateway, found)
+        keys = per_key(light, reported, heavy_matches(groups, links, reported))
+        sums = per_id_day(keys, heavy_sums(groups, links))
+    per_day = pick_case(sums)
     days = daily.calendar(ledger.sparkSession, config)
     filled = daily.fill_days(days, per_day.filter(daily.in_calendar(config)),
                              defaults=UNMATCHED_MEASURES)
     return daily.with_differences(filled)
 
 
+def heavy_groups(signed: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Equal ledger rows of heavy transfers, counted in ``n``."""
+    return signed.join(heavy, "transfer_id", "left_semi").groupBy(*signed.columns).agg(F.count("*").alias("n"))
+
+
+def heavy_links(gateway: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Equal links of heavy transfers, counted in ``m``."""
+    links = gateway.select(F.col("ledger_transfer_id").alias("transfer_id"), "end_to_end_id")
+    return links.join(heavy, "transfer_id", "left_semi").groupBy(*links.columns).agg(F.count("*").alias("m"))
+
+
+def heavy_sums(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The (id, day) sums of heavy transfers as if no pair had a partner on the provider's side.
+
+    A transfer's rows are summed per day first, so a link meets a row for each day, not each row. What
+    ``heavy_matches`` finds is taken off by its key.
+    """
+    per_day = groups.groupBy("transfer_id", "date_day").agg(
+        F.expr("sum(sided_amount * n)").alias("amount"),
+        *_per_flow("sum(if(operation = '{flow}', n, 0L)) as rows_{flow}",
+                   "sum(if(operation = '{flow}', sided_amount * n, 0L)) as total_{flow}"))
+    return links.join(per_day, "transfer_id").select(
+        F.col("end_to_end_id").alias("ledger_id"), "date_day",
+        *_exprs("if(end_to_end_id is not null, amount * m, null) as net_amount"),
+        *_per_flow("total_{flow} * m as amount_ledger_{flow}", "cast(null as bigint) as amount_jd_{flow}",
+                   "rows_{flow} * m as kept_nb_{flow}", "coalesce(total_{flow} * m, 0L) as kept_amount_{flow}",
+                   "if(end_to_end_id is null, rows_{flow} * m, 0L) as removed_nb_{flow}",
+                   "if(end_to_end_id is null, coalesce(total_{flow} * m, 0L), 0L) as removed_amount_{flow}"))
+
+
+def heavy_matches(groups: DataFrame, links: DataFrame, reported: DataFrame) -> DataFrame:
+    """The pairs of heavy transfers whose key the provider has on their day, as ledger rows for ``per_key`` that stand for ``n * m`` each.
+
+    The provider's keys are taken apart at their last comma, as an amount has none: their id finds the links, and their
+    amount and day the ledger rows. So pairs come from keys, and there are no more than keys and transfers of an id.
+    """
+    key = F.coalesce("pix_key", F.lit(""))
+    parts = reported.select(key.alias("pix_key"), "date_day").distinct().filter("contains(pix_key, ',')").select(
+        "pix_key", "date_day", F.regexp_extract("pix_key", "(?s)^(.*),[^,]*$", 1).alias("_id"),
+        F.regexp_extract("pix_key", "[^,]*$", 0).alias("_amount"))
+    by_id = parts.join(links.withColumn("_id", F.coalesce("end_to_end_id", F.lit(""))), "_id")
+    rows = groups.withColumn("_amount", F.coalesce(F.col("sided_amount").cast("string"), F.lit("")))
+    pairs = by_id.join(rows, ["transfer_id", "date_day", "_amount"]).select(
+        "pix_key", "date_day", "end_to_end_id", "operation", "sided_amount", F.expr("n * m as pairs"))
+    return pairs.select(
+        "pix_key", "date_day", *_exprs("end_to_end_id as ledger_id", "sided_amount as amount"),
+        *_per_flow("if(operation = '{flow}', pairs, 0L) as ledger_{flow}",
+                   "if(operation = '{flow}' and end_to_end_id is null, pairs, 0L) as no_id_{flow}",
+                   "if(operation = '{flow}', pairs, 0L) as heavy_{flow}",
+                   "if(operation = '{flow}' and end_to_end_id is null, pairs, 0L) as heavy_no_id_{flow}"))
+
+
 def jd_side_window(jd: DataFrame, config: ReconConfig) -> DataFrame:
     """Raw time range around the calendar, a day wider than needed, for the file scan.
 
@@ -66,12 +129,13 @@ def jd_side_window(jd: DataFrame, config: ReconConfig) -> DataFrame:
     return jd.filter((raw >= earliest) & (raw < latest))
 
 
-def per_key(transactions: DataFrame, reported: DataFrame) -> DataFrame:
+def per_key(transactions: DataFrame, reported: DataFrame, matches: DataFrame | None = None) -> DataFrame:
     """One row per (pix_key, day): what each side holds there.
 
     Ledger rows of a key share one amount, as the key spells it out, so counts
     and that amount say it all. ``no_id_*`` counts those without an id, which no
-    refund removes. Provider keys are taken as given, so their amounts are summed.
+    refund removes. Provider keys are taken as given, so their amounts are summed. ``heavy_*`` counts the ledger rows
+    among these that stand for pairs of heavy transfers (``matches``).
     """
     key = pix_key(F.col("end_to_end_id"), F.col("sided_amount"))
     ledger_rows = transactions.select(
@@ -87,12 +151,16 @@ def per_key(transactions: DataFrame, reported: DataFrame) -> DataFrame:
             "if(operation in ('{flow}', '{jd}'), amount, null) as jd_amount_{flow}",
             "if(operation = '{jd}', amount, 0L) as jd_total_{flow}"))
     both = ledger_rows.unionByName(jd_rows, allowMissingColumns=True)
+    counts = ["ledger", "no_id", "jd", "jd_amount"]
+    if matches is not None:
+        both = both.unionByName(matches, allowMissingColumns=True)
+        counts += ["heavy", "heavy_no_id"]
     # Provider totals stay NULL without rows; counts read 0.
     return both.groupBy("pix_key", "date_day").agg(
         *_exprs("max(ledger_id) as ledger_id", "max(amount) as amount",
                 "coalesce(sum(jd_rows), 0) as jd_rows"),
         *_per_flow(*[f"coalesce(sum({n}_{{flow}}), 0) as {n}_{{flow}}"
-                     for n in ("ledger", "no_id", "jd", "jd_amount")],
+                     for n in counts],
                    "sum(jd_total_{flow}) as jd_total_{flow}"))
 
 
@@ -102,32 +170,46 @@ _ID_DAY_SUMS = ("net_amount",) + tuple(
                  "removed_nb", "removed_amount"))
 
 
-def per_id_day(keys: DataFrame) -> DataFrame:
+def per_id_day(keys: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """One row per (ledger id, day): net amount, totals, and the unmatched measures of each case.
 
-    "Kept" counts all ledger rows of the key, "removed" only those without an id.
+    "Kept" counts all ledger rows of the key, "removed" only those without an id. ``heavy`` has the sums of heavy
+    transfers with every pair unmatched; the pairs among the keys are then taken off and not counted again.
     """
+    if heavy is not None:
+        # Every key of such a pair is matched, so it adds nothing itself.
+        keys = keys.select("*", *_per_flow("ledger_{flow} - heavy_{flow} as own_{flow}", "no_id_{flow} - heavy_no_id_{flow} as own_no_id_{flow}"))
+        own, own_no_id = "own_{flow}", "own_no_id_{flow}"
+        off = {"kept_nb": " - heavy_{flow}", "kept_amount": " - coalesce(heavy_{flow} * amount, 0L)",
+               "removed_nb": " - heavy_no_id_{flow}", "removed_amount": " - coalesce(heavy_no_id_{flow} * amount, 0L)"}
+    else:
+        own, own_no_id, off = "ledger_{flow}", "no_id_{flow}", {}
+
+    def measure(name: str, test: str, value: str) -> str:
+        text = f"if({test} = 0 or jd_rows = 0, {value}, null)"
+        return f"coalesce({text}, 0L){off[name]} as {name}_{{flow}}" if off else f"{text} as {name}_{{flow}}"
+
+    def both(template: str) -> str:
+        return " + ".join(template.format(flow=flow) for flow in FLOWS)
+
     sided = keys.select(
         "*", *_exprs("ledger_pix_in + ledger_pix_out as ledger_rows",
-                     "no_id_pix_in + no_id_pix_out as no_id_rows"))
+                     "no_id_pix_in + no_id_pix_out as no_id_rows",
+                     f"{both(own)} as own_rows", f"{both(own_no_id)} as own_no_id_rows"))
     measured = sided.select(
         "ledger_id", "date_day",
-        *_exprs("if(ledger_rows > no_id_rows, amount * (ledger_rows - no_id_rows), null)"
+        *_exprs("if(own_rows > own_no_id_rows, amount * (own_rows - own_no_id_rows), null)"
                 " as net_amount"),
         *_per_flow(
-            "case when amount is not null then amount * ledger_{flow}"
-            " when ledger_rows > ledger_{flow} then 0L end as amount_ledger_{flow}",
+            f"case when amount is not null then amount * {own}"
+            f" when own_rows > {own} then 0L end as amount_ledger_{{flow}}",
             "jd_total_{flow} as amount_jd_{flow}",
-            "if(ledger_rows = 0 or jd_rows = 0,"
-            " ledger_{flow} + jd_{flow}, null) as kept_nb_{flow}",
-            "if(ledger_rows = 0 or jd_rows = 0,"
-            " coalesce(ledger_{flow} * amount, 0L) + jd_amount_{flow}, null)"
-            " as kept_amount_{flow}",
-            "if(no_id_rows = 0 or jd_rows = 0,"
-            " no_id_{flow} + jd_{flow}, null) as removed_nb_{flow}",
-            "if(no_id_rows = 0 or jd_rows = 0,"
-            " coalesce(no_id_{flow} * amount, 0L) + jd_amount_{flow}, null)"
-            " as removed_amount_{flow}"))
+            measure("kept_nb", "ledger_rows", "ledger_{flow} + jd_{flow}"),
+            measure("kept_amount", "ledger_rows", "coalesce(ledger_{flow} * amount, 0L) + jd_amount_{flow}"),
+            measure("removed_nb", "no_id_rows", "no_id_{flow} + jd_{flow}"),
+            measure("removed_amount", "no_id_rows", "coalesce(no_id_{flow} * amount, 0L) + jd_amount_{flow}")))
+    if heavy is not None:
+        measured = measured.unionByName(heavy)
     return measured.groupBy("ledger_id", "date_day").agg(
         *_exprs(*[f"sum({name}) as {name}" for name in _ID_DAY_SUMS]))
 

@@ -14,7 +14,7 @@ from acerto.sources.tables import run_sql
 _TEXT = """
 with ledger_rows as (
   select {ledger_day} as date_day, link.end_to_end_id, l.type as operation,
-         case l.direction when '{direction_out}' then -1 when '{direction_in}' then 1 end
+         case l.direction when {direction_out} then -1 when {direction_in} then 1 end
            * l.amount as amount
   from {{ledger}} l
   join {{gateway}} link on l.transfer_id = link.ledger_transfer_id
@@ -134,31 +134,42 @@ order by date_day desc
 
 
 def _literal(value) -> str:
+    """A value in the text; braces are doubled, as single ones name inputs."""
     if isinstance(value, str):
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("{", "{{").replace("}", "}}")
         return f"'{escaped}'"
     return str(value)
 
 
 def _local_day(column: str, zone: str) -> str:
     return ("date_from_unix_date(cast(floor(unix_seconds(from_utc_timestamp(timestamp_seconds("
-            f"unix_timestamp({column})), '{zone}')) / 86400) as int))")
+            f"unix_timestamp({column})), {_literal(zone)})) / 86400) as int))")
+
+
+def _account_test(accounts: tuple | DataFrame) -> str:
+    """Rows outside the listed accounts; a table of them is an anti join, where a NULL account lists nothing."""
+    if isinstance(accounts, DataFrame):
+        return "and not exists (select 1 from {accounts} listed where listed.account_id = l.account_id)"
+    listed = ", ".join(_literal(a) for a in accounts)
+    return f"and l.account_id not in ({listed})" if listed else ""
 
 
 def recon_daily_text(config: ReconConfig) -> str:
-    """The query for one run; ``{ledger}``, ``{gateway}`` and ``{jd}`` name its inputs."""
-    accounts = ", ".join(_literal(a) for a in config.excluded_accounts)
-    as_of = "current_date()" if config.as_of is None else f"date'{config.as_of}'"
+    """The query for one run; ``{ledger}``, ``{gateway}`` and ``{jd}`` name its inputs, and ``{accounts}`` a table of excluded accounts."""
+    as_of = (f"to_date(convert_timezone({_literal(config.zone)}, localtimestamp()))" if config.as_of is None
+             else f"date'{config.as_of}'")
     return _TEXT.format(
         ledger_day=_local_day("l.utc_datetime", config.zone),
         jd_day=_local_day("j.date_day", config.zone),
-        direction_in=config.direction_in, direction_out=config.direction_out,
+        direction_in=_literal(config.direction_in), direction_out=_literal(config.direction_out),
         calendar_start=f"date'{config.calendar_start}'",
         ledger_start=f"date'{config.ledger_start}'", as_of=as_of,
-        account_test=f"and l.account_id not in ({accounts})" if accounts else "")
+        account_test=_account_test(config.excluded_accounts))
 
 
 def reconcile_daily_sql(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
                         config: ReconConfig) -> DataFrame:
-    return run_sql(ledger.sparkSession, recon_daily_text(config),
-                   ledger=ledger, gateway=gateway, jd=jd)
+    inputs = {"ledger": ledger, "gateway": gateway, "jd": jd}
+    if isinstance(config.excluded_accounts, DataFrame):
+        inputs["accounts"] = config.excluded_accounts.toDF("account_id")
+    return run_sql(ledger.sparkSession, recon_daily_text(config), **inputs)
