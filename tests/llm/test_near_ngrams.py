@@ -80,6 +80,73 @@ def test_edges(frame, edge):
     assert ng.jaccard_join(frame([])).count() == 0
 
 
+def test_one_id_with_several_texts(frame, words):
+    def changed(text, n):
+        parts = text.split()
+        return " ".join([*parts[:n], "other", *parts[n + 1:]])
+
+    a, b = words(62, 31), words(62, 32)
+    rows = [(1, a), (1, b), (2, changed(a, 30)), (3, changed(b, 30)), (0, b), (4, words(62, 33)), (4, None), (5, ""), (None, a)]
+    found = ng.jaccard_join(frame(rows)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(1, 58, 1), (1, 58, 0), (2, 58, 1), (3, 58, 0), (0, 58, 0), (4, 58, 4), (4, 0, 4), (5, 0, 5), (None, 58, None)], key=str)
+
+
+def test_bitmaps_never_differ_in_more_places_than_sets(words):
+    pick = random.Random(9)
+    texts = [None, "", "a"]
+    for n in (20, 60, 200, 3000):
+        base = words(n, n).split()
+        for edits in (0, 1, 3, 10, 40):
+            text = list(base)
+            for _ in range(edits):
+                text[pick.randrange(n)] = f"w{pick.random()}"
+            texts.append(" ".join(text))
+    hashes, bounds = ng.shingle_sets(pa.array(texts * 60), 5)
+    maps, wide = ng.parities(hashes, bounds)
+    wide = [np.array(w.as_py() or list(m)) for w, m in zip(wide, maps)]
+    assert {len(w) for w in wide} == {8, 128} and all((w.reshape(-1, 8)[0] if len(w) == 8 else np.bitwise_xor.reduce(w.reshape(-1, 8))).tolist()
+                                                      == m.tolist() for w, m in zip(wide, maps))
+    sets = [set(hashes[a:b]) for a, b in zip(bounds, bounds[1:])][:len(texts)]
+    assert (maps[:len(texts)] == maps[-len(texts):]).all()
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            differ = int(np.bitwise_count((maps[i] ^ maps[j]).view(np.uint64)).sum())
+            assert differ <= len(x ^ y)
+            if len(x ^ y) <= 20:
+                assert differ > len(x ^ y) / 2 or x == y
+            if len(wide[i]) == len(wide[j]):
+                assert differ <= int(np.bitwise_count((wide[i] ^ wide[j]).view(np.uint64)).sum()) <= len(x ^ y)
+
+
+@pytest.fixture(scope="module")
+def crowd(words):
+    """One large family: copies with 0 to 9 changed words, most of them linked with the base only or with nothing."""
+    pick, base, rows = random.Random(11), words(150, 77).split(), []
+    for k in range(260):
+        text = list(base)
+        for _ in range(k % 10):
+            text[pick.randrange(len(text))] = f"w{pick.random()}"
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+def test_long_texts(frame, words):
+    pick, rows = random.Random(12), []
+    for base in (words(700, 1).split(), words(1600, 2).split()):
+        for k in range(12):
+            text = list(base)[:len(base) - 20 * (k % 3)]
+            for _ in range([0, 5, 20, 30, 60, 80][k % 6]):
+                text[pick.randrange(len(text))] = f"w{pick.random()}"
+            rows.append((len(rows), " ".join(text)))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ng.jaccard_join(frame(rows)).collect()} == brute(rows)
+
+
+def test_large_family(frame, crowd):
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ng.jaccard_join(frame(crowd)).collect()}
+    assert found == brute(crowd)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (3, 9), (9, 200), (200, 3), (None, 1), (50, 51), (51, 50)]
     links += [(500, 500 + i) for i in range(1, 40)]
