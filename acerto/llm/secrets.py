@@ -10,7 +10,7 @@ Everything is SQL expressions: places come from the lengths of matches and of th
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ _CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=
 _START = len(_CHARACTERS)  # row of the table for the first character of a token
 _SIDE = _START + 1
 _BACKING = 5.0
+_BLOCK = 64
+_NOWHERE = 2**31 - 1
 _TOKEN = "[A-Za-z0-9+/=_-]+"
 _WORD = "[A-Za-z][A-Za-z0-9_-]*"
 
@@ -34,22 +36,74 @@ PATTERNS = (
 _HINTS = {"assign": r"(?i:passw|secret|token|api_?key)", "access": "AKIA", "hex": "[0-9a-f]{16}"}
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is mentioned."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column], zero: Column, levels: int = 3) -> Column:
+    """Of each place in an array, all values before it joined, beginning with `zero`.
+
+    By blocks of `_BLOCK`, whose own totals run alike: a value is looked at half a block's times on each level, while an
+    array that grows value by value would be copied each time.
+    """
+    def direct(found: Column) -> Column:
+        return F.transform(found, lambda _, i: F.aggregate(F.slice(found, F.lit(1), i), zero, join))
+
+    def by_block(found: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _BLOCK).cast("int"))
+        cut = F.transform(starts, lambda i: F.slice(found, i * _BLOCK + 1, F.lit(_BLOCK)))
+
+        def joined(blocks: Column) -> Column:
+            totals = F.transform(blocks, lambda b: F.aggregate(b, zero, join))
+            inside = F.transform(blocks, direct)
+            return F.flatten(F.zip_with(inside, _running(totals, join, zero, levels - 1),
+                                        lambda block, before: F.transform(block, lambda x: join(before, x))))
+
+        return _let(cut, joined)
+
+    return _let(values, lambda found: F.when(F.size(found) <= _BLOCK, direct(found)).otherwise(by_block(found))
+                if levels else direct(found))
+
+
 def _matches(text: Column, pattern: str, group: int) -> Column:
     """Places of all matches: array of start, end (code points, exclusive), value of the group."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    between = F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: F.struct(
-        F.length(F.get(between, i)).alias("gap"), F.length(m).alias("size"), F.get(values, i).alias("value")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("places"))
-    return F.aggregate(
-        steps, zero,
-        lambda done, step: F.struct(
-            (done.at + step.gap + step.size).alias("at"),
-            F.concat(done.places, F.array(F.struct(
-                (done.at + step.gap).alias("start"), (done.at + step.gap + step.size).alias("end"),
-                step.value.alias("value")))).alias("places")),
-        lambda done: done.places)
+    # The text behind the last match is one piece more.
+    steps = F.zip_with(
+        F.zip_with(found, values, lambda m, v: F.struct(F.length(m).alias("size"), v.alias("value"))),
+        F.split(text, pattern, -1), lambda m, gap: F.struct(m.alias("m"), F.length(gap).alias("gap")))
+    inner = F.filter(steps, lambda step: step.m.isNotNull())
+
+    def placed(step: Column, at: Column) -> Column:
+        start = at + step.gap
+        return F.struct(start.alias("start"), (start + step.m.size).alias("end"), step.m.value.alias("value"))
+
+    return _let(inner, lambda steps: F.zip_with(
+        steps, _running(F.transform(steps, lambda s: s.gap + s.m.size), lambda a, b: a + b, F.lit(0)), placed))
+
+
+def _outside(spans: Column, known: Column) -> Column:
+    """Those of `spans` that overlap none of `known` (arrays of the form of `_spans`).
+
+    In one list by start, a span is overlapped by a known one before it that ends behind its start, or by the next known one
+    if that starts before its end.
+    """
+    def told(both: Column) -> Column:
+        def is_known(s: Column) -> Column:
+            return s.place < len(PATTERNS)
+
+        ends = F.transform(both, lambda s: F.when(is_known(s), s.end).otherwise(0))
+        starts = F.reverse(F.transform(both, lambda s: F.when(is_known(s), s.start).otherwise(_NOWHERE)))
+        last_end = _running(ends, lambda a, b: F.greatest(a, b), F.lit(0))
+        next_start = F.reverse(_running(starts, lambda a, b: F.least(a, b), F.lit(_NOWHERE)))
+        near = F.zip_with(last_end, next_start, lambda e, s: F.struct(e.alias("end"), s.alias("start")))
+        marked = F.zip_with(both, near, lambda s, n: F.struct(
+            s.alias("span"), (~is_known(s) & (n.end <= s.start) & (n.start >= s.end)).alias("free")))
+        return F.transform(F.filter(marked, lambda m: m.free), lambda m: m.span)
+
+    return F.when(F.size(known) == 0, spans).otherwise(_let(F.array_sort(F.concat(spans, known)), told))
 
 
 def _long(matches: Column, least: int) -> Column:
@@ -147,7 +201,7 @@ def scan(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     out = out.withColumn("known", known).withColumn("scored", F.filter(
         F.transform("random", scored),
         lambda m: (m.score >= threshold) & (m.score >= mean_threshold * (m.end - m.start))))
-    fresh = F.filter("scored", lambda m: ~F.exists("known", lambda k: (k.start < m.end) & (m.start < k.end)))
+    fresh = _outside(F.col("scored"), F.col("known"))
     return out.select(F.col("id").alias(id_column), F.transform(
         F.array_sort(F.concat("known", fresh)),
         lambda m: F.struct(m.kind.alias("kind"), m.start.alias("start"), m.end.alias("end"), m.score.alias("score")))
