@@ -6,11 +6,11 @@ agenda is merged and the new symbol's pairs enter it, until none is left. Charac
 outside the vocabulary become byte pieces.
 
 Where no piece has the space mark after another character, no merge crosses the start of a
-run of space marks. The text is then cut there, and equal parts are encoded once per worker
-(a cache of bounded size). The agendas of all new parts of a batch advance together, one merge
+run of space marks. The text is then cut there, and equal parts are encoded once per worker, as long as they keep coming
+(a cache of two generations of bounded size, which lives as long as the worker). The agendas of all new parts of a batch advance together, one merge
 each at a time, as array operations; a long part has a heap of its own. Each Arrow batch
 checks all parts it meets for the first time, and its first whole text, against the
-sentencepiece library.
+sentencepiece library, and fails where they differ.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from .common import slices
 
 MARK = "▁"
 _LONGEST_CACHED = 64
-_CACHED = 200_000
+_CACHED = 150_000  # parts in a generation of the cache; about 35 MB
 
 
 class Agenda:
@@ -55,6 +55,7 @@ class Agenda:
         self.separable = separable
         self.runs = re.compile(f"{MARK}+[^{MARK}]*").findall
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self._pairs()
 
     def _pairs(self) -> None:
@@ -184,14 +185,24 @@ class Agenda:
             self.cache[part] = array("I", ids).tobytes()
         return differ
 
+    def _renew(self, parts: set[str]) -> None:
+        """Makes a full generation the older one; parts of it that are met again live on in the new one."""
+        if len(self.cache) > _CACHED:
+            self.cache, self.older = {}, self.cache
+        older = self.older
+        if older:
+            for part in parts:
+                if part not in self.cache and (known := older.get(part)) is not None:
+                    self.cache[part] = known
+
     def encode(self, texts: list[str]) -> tuple[list[bytes], int]:
         """Ids of each text as little-endian unsigned 32-bit integers, begin and end ids
         included; in how many places the library differs."""
         split = [self.parts(text) for text in texts]
-        if len(self.cache) > _CACHED:
-            self.cache.clear()
+        wanted = set(chain.from_iterable(split))
+        self._renew(wanted)
         cache = self.cache
-        fresh = [part for part in set(chain.from_iterable(split)) if part not in cache]
+        fresh = [part for part in wanted if part not in cache]
         differ = self._checked(fresh)
         begin, end = array("I", [self.begin]).tobytes(), array("I", [self.end]).tobytes()
         encoded = [begin + b"".join(map(cache.__getitem__, parts)) + end for parts in split]
@@ -199,9 +210,12 @@ class Agenda:
             if len(part) > _LONGEST_CACHED:
                 del cache[part]
         if texts:
-            differ += array("I", self.library.encode(texts[0], add_bos=True, add_eos=True)).tobytes() != encoded[0]
+            differ += self.library_ids(texts[0]) != encoded[0]
         return encoded, differ
 
+    def library_ids(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_bos=True, add_eos=True)).tobytes()
+
     def decode(self, ids: bytes) -> str:
         """The text of `ids`; control ids have none, the leading space mark's space goes."""
         text = b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
@@ -218,8 +232,7 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
     """One row for each row of `rows`: its id, ids (binary, little-endian unsigned 32-bit
     integers with begin and end ids), decoded (the text of these ids), differ.
 
-    `differ` counts, on the first row of each Arrow batch and 0 elsewhere, in how many
-    places the library encoded the batch differently; it must be 0 everywhere. Null texts
+    A text that the library encodes otherwise fails the job with its id, so `differ` is 0. Null texts
     count as empty and give the begin and end ids. Repeated rows each get their row; an empty
     table gives an empty result; other columns are ignored. `model_file` lies at the same
     place on every executor, as the library does.
@@ -232,12 +245,15 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
             for part in slices(batch):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 encoded, differ = coder.encode(texts)
+                if differ:
+                    wrong = [i for i, text in enumerate(texts) if coder.library_ids(text) != encoded[i]]
+                    ids = [part.column(0)[i].as_py() for i in wrong[:10]]
+                    raise ValueError(f"the library encodes the texts of {id_column} {ids} otherwise")
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(encoded, pa.binary()),
                      pa.array([coder.decode(ids) for ids in encoded], pa.string()),
-                     pa.array([differ] + [0] * (len(texts) - 1), pa.int64())],
+                     pa.array([0] * len(texts), pa.int64())],
                     names=[id_column, "ids", "decoded", "differ"])
-        coder.cache.clear()  # the worker may serve other operators next
 
     return rows.select(id_column, text_column).mapInArrow(
         work, f"`{id_column}` {id_type}, ids binary, decoded string, differ bigint")

@@ -1,7 +1,9 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from acerto.llm import piece_tokens
 from acerto.llm.piece_tokens import Agenda, encode
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -48,3 +50,33 @@ def test_table(frame, edge, coder):
         assert list(memoryview(bytes(row.ids)).cast("I")) == coder.library.encode(text, add_bos=True, add_eos=True)
         assert row.decoded == coder.library.decode(coder.library.encode(text))
     assert encode(frame([]), MODEL).count() == 0
+
+
+def test_a_text_that_differs_fails_with_its_id(frame, monkeypatch):
+    coder = Agenda(MODEL)
+    monkeypatch.setattr(coder, "merge_all", lambda parts: [[1, 2, 3] if "odd" in p else Agenda.merge(coder, p) for p in parts])
+    monkeypatch.setattr(piece_tokens, "agenda", lambda model: coder)
+    rows = pa.record_batch([pa.array([7, 8, 9]), pa.array(["all right", "this is odd", "right"])], names=["doc_id", "text"])
+    class Rows:
+        schema = {"doc_id": type("Field", (), {"dataType": type("Long", (), {"simpleString": lambda self: "bigint"})()})()}
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return list(work(iter([rows])))
+
+    with pytest.raises(ValueError, match=r"doc_id \[8\]"):
+        encode(Rows(), MODEL)
+
+
+def test_cache_is_bounded_and_keeps_what_comes_again(monkeypatch):
+    monkeypatch.setattr(piece_tokens, "_CACHED", 50)
+    coder = Agenda(MODEL)
+    for n in range(40):
+        check(coder, "always here " + " ".join(f"w{n}x{i}" for i in range(20)))
+        assert len(coder.cache) <= 75 and len(coder.older) <= 75
+    calls = []
+    monkeypatch.setattr(coder, "merge_all", lambda parts: calls.append(parts) or [coder.merge(p) for p in parts])
+    check(coder, "always here")
+    assert calls in ([], [[]])
