@@ -59,10 +59,13 @@ def _named(declared: Column) -> Column:
 
 
 def train(rows: DataFrame, text_column: str = "text", declared_column: str = "lang", *, sample_rows: int = 3000,
-          longest: int = 200_000) -> Model:
+          longest: int = 200_000, least_texts: int = 100, least_share: float = 0.001) -> Model:
     """A model from rows with a declared language: every language that any row with a text declares.
 
-    The languages come from a grouped count over all rows. The sample is bounded for each of them: about
+    Declarations are free text, so a language is what has the form of a code (two or three letters a-z), however rare,
+    or any other name that at least `least_texts` different texts and `least_share` of all rows with a declaration and a text
+    have; rows with other declarations train nothing. So there are no more names than codes of that form and 1 / `least_share`,
+    whatever is declared. The languages come from a grouped count over all rows. The sample is bounded for each of them: about
     `sample_rows` of its different texts, all where there are no more, each by its first `longest`
     characters. Trigrams are counted in the tasks; the driver and each worker hold 256 kB for each language.
     "und" and "other" name no language.
@@ -70,8 +73,11 @@ def train(rows: DataFrame, text_column: str = "text", declared_column: str = "la
     labelled = rows.where(F.length(text_column) > 0).select(
         _named(F.col(declared_column)).alias("language"), F.col(text_column).alias("text")).where(
         ~F.col("language").isin("", "und", "other"))
+    least = max(1.0, least_share * labelled.count())
+    supported = (F.col("n") >= least_texts) & (F.col("rows") >= least)
     sizes = {r.language: r.n for r in labelled.groupBy("language").agg(
-        F.approx_count_distinct("text", 0.02).alias("n")).collect()}  # one for each language
+        F.approx_count_distinct("text", 0.02).alias("n"), F.count("*").alias("rows"))
+        .where(F.rlike("language", F.lit("^[a-z]{2,3}$")) | supported).collect()}
     languages = sorted(sizes)
     counts = np.full((len(languages), _CELLS), 0.01, np.float32)
     if languages:
@@ -151,7 +157,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     white space, its language is not "und" and its probability at least `least`. Rows with null or empty texts
     are not accepted; their language is what the other evidence says. Ties go to the first language in
     the alphabet. Repeated rows each get their row; an empty table gives an empty result; all other
-    columns stay, whatever their names.
+    columns stay, whatever their names, but for columns that are called like the three of the result, which these replace.
 
     The text is read twice, for the counts and for the result. The counts are one row for each host,
     domain and suffix; hosts are joined by Spark's choice, with hot ones split by adaptive execution.
@@ -211,7 +217,9 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     accepted = F.col("_filled") & (F.col("language") != "und") & (F.col("probability") >= least)
     if only_accepted:
         return joined.where(accepted).select("_row.*")
-    return joined.select("_row.*", "language", "probability", accepted.alias("accepted"))
+    others = [c for c in rows.columns if c.lower() not in ("language", "probability", "accepted")]
+    return joined.select(*(F.col("_row").getField(c).alias(c) for c in others),
+                         "language", "probability", accepted.alias("accepted"))
 
 
 def of_documents(docs: DataFrame, **options) -> DataFrame:
@@ -221,11 +229,17 @@ def of_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def page_columns(pages: DataFrame) -> DataFrame:
-    """The evidence of pages (page_id, url, html): text without markup, declared, host, domain, suffix."""
+    """The evidence of pages (page_id, url, html): text without markup, declared, host, domain, suffix.
+
+    Scripts and styles go with their content, to the end of the page where they are not closed, then everything between < and >
+    without another < inside. Null and empty pages have the empty text; a page without an address
+    or a declaration has the empty one. Each pattern reads a page in time that grows with its length, however broken it is.
+    """
     html = F.coalesce("html", F.lit(""))
-    text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " "), r"<[^>]*>", " ")
+    text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b[^<>]*>.*?(?:</\1\b[^<>]*>|\z)", " "), r"<[^<>]*>", " ")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    root = F.regexp_extract(html, r"(?i)<html\b([^<>]*)>", 1)
     return pages.select(
-        "page_id", text.alias("text"), F.regexp_extract(html, r"(?i)<html\b[^>]*\slang\s*=\s*[\"']?([A-Za-z]+)", 1)
+        "page_id", text.alias("text"), F.regexp_extract(root, r"(?i)\slang\s*=\s*[\"']?([A-Za-z]+)", 1)
         .alias("declared"), host.alias("host"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
         F.regexp_extract(host, r"([^.]+)$", 1).alias("suffix"))

@@ -1,5 +1,10 @@
 import random
+import time
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from acerto.llm import language
@@ -74,3 +79,91 @@ def test_rare_and_many_languages(spark):
     assert len(found) == len(rows)
     assert all(found[i].language == name and found[i].accepted for i, name in truth.items())
     assert found[0].language == "en" and found[20_000].language == "pl" and found[30_000].language == "fi"
+
+
+def test_junk_declarations_leave_the_table_alone(spark):
+    junk = [(50_000 + i, f"junk text {i} the water", f"wild{i} guess", None) for i in range(5_000)]
+    junk += [(60_000 + i, f"junk text {i} das wasser", f"name{i}", None) for i in range(5_000)]
+    plain = language.train(build(spark, corpus()))
+    found = language.train(build(spark, corpus() + junk))
+    assert found.languages == plain.languages and found.table.shape == plain.table.shape
+    named = [(70_000 + i, f"kotona on vesi {i}", "suomi", None) for i in range(120)]
+    assert "suomi" in language.train(build(spark, corpus() + junk + named)).languages
+    assert "suomi" not in language.train(build(spark, corpus() + named[:90])).languages
+
+
+def test_columns_called_like_the_result(spark):
+    rows = build(spark, corpus()).withColumn("Language", F.lit("x")).withColumn("accepted", F.lit(7)).withColumn("_text", F.lit("y"))
+    found = language.of_documents(rows)
+    assert found.columns == ["doc_id", "text", "lang", "source", "_text", "language", "probability", "accepted"]
+    assert language.of_documents(rows, only_accepted=True).columns == rows.columns
+    assert found.where("language = lang and accepted and _text = 'y'").count() == len(corpus())
+
+
+@pytest.mark.parametrize("html, text", [
+    ("a < b and c > d", "a   d"), ("<p>one</p><!-- two --><br", "one <br"), ("<style>p{}</STYLE >x<script>y", "x"), ("<script>a</script foo>b", "b"),
+    ("<scripted>a</scripted>", "a"), ("", ""), (None, "")])
+def test_broken_pages(spark, html, text):
+    pages = spark.createDataFrame([(1, None, html)], "page_id long, url string, html string")
+    assert language.page_columns(pages).first().text.split() == text.split()
+
+
+@pytest.mark.parametrize("piece", ["<", "<script>", "<script ", "</script ", "<html ", "<html lang", "< >", "<style></style"])
+def test_long_broken_pages_take_linear_time(spark, piece):
+    pages = spark.createDataFrame([(1, None, piece * (1_000_000 // len(piece)))], "page_id long, url string, html string")
+    began = time.time()
+    language.page_columns(pages).collect()
+    assert time.time() - began < 10
+
+
+def posterior(rows, model, most_trigrams=60, host_weight=20.0):
+    """Languages and probabilities of (id, text, declared, source), the source being host and domain, by hand."""
+    names = model.languages
+
+    def text_score(text):
+        cells, _ = language._trigrams(pa.array([text or ""]))
+        if not len(cells):
+            return None
+        sums = np.array([model.table[cells, k].astype(float).sum() for k in range(len(names))])
+        sums *= min(len(cells), most_trigrams) / len(cells)
+        return sums - sums.max()
+
+    scores = [text_score(r[1]) for r in rows]
+    said = [None if not r[2] else r[2] if r[2] in names else "other" for r in rows]
+    guesses = [(int(np.argmax(s)), d, r[3] or "") for s, d, r in zip(scores, said, rows) if s is not None]
+    overall = np.array([Counter(g[0] for g in guesses)[k] for k in range(len(names))], float)
+    shares = (overall + 1) / (overall.sum() + len(names))
+    values = [*names, "other"]
+
+    def counts(host):
+        return np.array([sum(g[0] == k and g[2] == host for g in guesses) for k in range(len(names))], float)
+
+    out = {}
+    for (ident, _, _, host), score, declared in zip(rows, scores, said):
+        seen = counts(host or "")
+        domain = (seen + host_weight * shares) / (seen.sum() + host_weight)
+        prior = (seen + host_weight * domain) / (seen.sum() + host_weight)
+        total = np.log(prior if seen.sum() else shares)
+        if score is not None:
+            total = total + score
+        if declared is not None:
+            for k, name in enumerate(names):
+                weights = {v: sum(g[0] == k and g[1] == v for g in guesses) + (2.0 if v == name else 0.1) for v in values}
+                total[k] += np.log(weights[declared] / sum(weights.values()))
+        share = np.exp(total - total.max())
+        out[ident] = (names[int(np.argmax(total))], 1 / share.sum())
+    return out
+
+
+def test_posterior_recomputed(spark):
+    pick = random.Random(8)
+    rows = [(i, " ".join(pick.choices(WORDS[lang].split() + WORDS["en"].split()[:3], k=pick.randint(1, 4))), pick.choice([lang, lang, None, "en", "xx"]),
+             pick.choice([f"{lang}0.site", "mixed", None])) for i in range(150) for lang in [pick.choice(list(WORDS))]]
+    rows += [(500, None, "fr", "mixed"), (501, "", None, None), (502, "e", None, "never seen"), (503, "??", "zz", "mixed")]
+    table = build(spark, rows)
+    model = language.train(build(spark, corpus()))
+    none = F.lit(None).cast("string")
+    found = {r.doc_id: (r.language, r.probability) for r in language.identify(
+        table, model, F.col("text"), F.col("lang"), F.col("source"), F.col("source"), none).collect()}
+    for ident, (name, probability) in posterior(rows, model).items():
+        assert found[ident] == (name, pytest.approx(probability, rel=1e-6)), ident
