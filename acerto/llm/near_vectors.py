@@ -106,17 +106,18 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
     Vectors that are null, empty, zero or have components that are null or not finite are linked with
     nothing, as are vectors of different lengths; they are components of their own, and kept. A row
     without an id counts as a copy of rows with an equal vector and an id; where there is none, it has no links
-    and component_id null. Repeated rows count one by one in n_links. An empty table gives an
-    empty result; other columns are ignored.
+    and component_id null. Repeated rows count one by one in n_links, and so do rows that share an id but not a vector, each
+    by its own vector. An empty table gives an empty result; other columns are ignored.
     """
-    id_type = rows.schema[id_column].dataType.simpleString()
     values = F.col("v").cast("array<double>")
     good = (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) \
         & F.exists("v", lambda x: x != 0)
     base = rows.select(F.col(id_column).alias("id"), F.col(vector_column).alias("v")).select(
         "id", F.when(F.coalesce(good, F.lit(False)), values).alias("v"))
+    # Equal vectors are one class, which goes by a number of its own, as an id may have several vectors.
     classes = written(base.where("v is not null").groupBy("v").agg(
-        F.min("id").alias("class"), F.count("*").alias("copies")), "vector-classes")
+        F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("class", F.monotonically_increasing_id()),
+        "vector-classes")
     count = classes.count()
     signs, tables = tables_for(count, threshold, bucket, miss)
 
@@ -151,8 +152,9 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
                      pa.array(list(keys), pa.list_(pa.int64()))],
                     names=["v", "class", "copies", "code", "factor", "size", "keys"])
 
-    codes = written(classes.select("v", "class", "copies").where("class is not null").mapInArrow(
-        coded, f"v array<double>, class {id_type}, copies bigint, code binary, factor double, size int,"
+    named = classes.where("id is not null")
+    codes = written(named.select("v", "class", "copies").mapInArrow(
+        coded, "v array<double>, class bigint, copies bigint, code binary, factor double, size int,"
                " keys array<bigint>"), "vector-codes")
     placed = codes.select("*", F.posexplode("keys").alias("table", "key"))
     sizes = codes.select("size", F.posexplode("keys").alias("table", "key")).groupBy("size", "table", "key").agg(
@@ -187,13 +189,14 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
         return pa.table({"class": ids[kept], "links": links[kept].astype(np.int64), "root": ids[roots[kept]]})
 
     found = checkpointed(tiles.groupBy("size", "table", "key", "low", "high").applyInArrow(
-        compared, f"class {id_type}, links bigint, root {id_type}"))
-    groups = components(found.select(F.col("class").alias("left"), F.col("root").alias("right")))
-    summed = (codes.select("v", "class", "copies")
-              .join(found.groupBy("class").agg(F.sum("links").alias("links")), "class", "left")
-              .join(groups.withColumnRenamed("node", "class"), "class", "left")
-              .select("v", "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                      F.coalesce("component", "class").alias("component_id")))
+        compared, "class bigint, links bigint, root bigint"))
+    groups = written(components(found.select(F.col("class").alias("left"), F.col("root").alias("right")))
+                     .join(named.select(F.col("class").alias("node"), "id"), "node"), "vector-components")
+    smallest = groups.groupBy("component").agg(F.min("id").alias("smallest"))
+    summed = (named.join(found.groupBy("class").agg(F.sum("links").alias("links")), "class", "left")
+              .join(groups.join(smallest, "component").select(F.col("node").alias("class"), "smallest"), "class", "left")
+              .select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                      F.coalesce("smallest", "id").alias("component_id")))
     alone = base.where("v is null").select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return (base.where("v is not null").join(summed, "v", "left")

@@ -64,3 +64,19 @@ def test_edges(spark):
     assert found[7] == [(5, 7, True)] and found[8] == [(5, 7, False)] and found[9] == [(5, 7, False)] * 2
     assert found[None] == [(5, 7, False)] and found[11][0][1] == 7
     assert nv.near_vectors(rows.limit(0)).count() == 0
+
+
+def test_one_id_with_several_vectors(spark):
+    a, b = [1.0, 0, 0, 0], [0.0, 1, 0, 0]
+    rows = [(1, a), (1, b), (2, [1.0, 0.01, 0, 0]), (0, [0.0, 1, 0.01, 0]), (0, [0.0, 0, 0, 1]), (None, a)]
+    rows = [(i, list(map(float, v))) for i, v in rows]
+    found = nv.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(1, 2, 1, True), (1, 1, 0, False), (2, 2, 1, False), (0, 1, 0, True), (0, 0, 0, True), (None, 2, 1, False)], key=str)
+
+
+def test_ids_may_be_text(spark, vectors):
+    rows = spark.createDataFrame([(f"v{i:04}", v) for i, v in enumerate(vectors[:120])], "vec_id string, embedding array<double>")
+    links, roots = brute(vectors[:120], [f"v{i:04}" for i in range(120)])
+    found = sorted(nv.near_vectors(rows).collect())
+    assert [(r.n_links, r.component_id) for r in found] == list(zip(links, roots))
