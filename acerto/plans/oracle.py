@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from acerto.operators.report import MESSAGE
 from acerto.plans.mapping import CONFIG
 from acerto.schemas import REPORT_COLUMNS
 
@@ -295,8 +294,28 @@ def _report_fields() -> dict[str, str]:
     return fields
 
 
+# The lines of the message for one flow, without its links; {} is the flow.
+_FLOW_LINES = (
+    "    - Daily mismatch: {{{}_daily_mismatch}}% ",
+    "    - Daily mismatch amount: R${{{}_daily_mismatch_amount}}",
+    "    - # mismatch transactions: {{{}_nb_mismatch_tx}}",
+    "    - Amount of mismatch transactions: R${{{}_amount_mismatch_tx}}",
+    "    - # corrected transactions: {{{}_nb_correction_tx}}",
+    "    - Amount of corrected transactions: {{{}_amount_correction_tx}}",
+)
+
+
+def _message() -> str:
+    """The expected text, written out here so that a changed template shows."""
+    lines = ["Date: {date}"]
+    for title, flow, end in (("PIX In:", "pix_in", [" ", "\n    "]), ("PIX Out:", "pix_out", ["", "\n" + " " * 12 + "\n" + " " * 12])):
+        lines += [title, *(line.format(flow) for line in _FLOW_LINES),
+                  f"    - Dashboard: {{{flow}_dashboard_link}}" + "".join(end)]
+    return "\n".join(lines)
+
+
 def _report_text() -> str:
-    text = "'" + MESSAGE.replace("'", "''") + "'"
+    text = "'" + _message().replace("'", "''") + "'"
     for name, value in _report_fields().items():
         text = f"replace({text}, '{{{name}}}', {value})"
     return f"select date_day as date, {text} as text from recon"
