@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acerto.sources.scratch import new_folder, shared_folder
+
 #: White space between words, as a character class for a regular expression.
 SPACE = r"\x20\x09-\x0D"
 
@@ -23,35 +23,21 @@ def lower_ascii(text: Column) -> Column:
     return F.reflect(F.lit("com.google.common.base.Ascii"), F.lit("toLowerCase"), text)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which executors and driver share.
-
-    Where the session names none (tests on one machine), a temporary folder is set as
-    the checkpoint folder.
-    """
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder, read again.
 
     Cuts the lineage, so a lost executor costs one reread, and gives the planner the
-    table's true size.
+    table's true size. The table stays there, as later results may still be read from it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` through checkpoint() into the shared folder; Spark removes it when unused."""
+    """`df` through checkpoint() into the shared folder; Spark removes it when unused if
+    spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 

@@ -116,8 +116,7 @@ def span_features(text: str, start: int, end: int, atoms: int) -> list[str]:
     count = len(digits)
     found = ["any", f"atoms{min(atoms, 6)}", f"digits{min(count, 20)}"]
     if "@" in part:
-        matches = base_spans(part) if len(part) < 1000 else []
-        found.append("address" if ("email", 0, len(part)) in matches else "at")
+        found.append("address" if ("email", 0, len(part)) in base_spans(part) else "at")
     if part.count(".") == 3 and re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", part):
         found.append("four parts" if _is_ip(part.split(".")) else "four large parts")
     if re.fullmatch(_CARD, part):

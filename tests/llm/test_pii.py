@@ -1,4 +1,6 @@
+import math
 import re
+from collections import defaultdict
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -63,3 +65,53 @@ def test_table(frame, edge, field):
 def test_long_run_of_zeros():
     """Python turns at most 4,300 digits into a number."""
     assert pii.base_spans("0" * 5000 + ".1.2.3")[0][0] == "ip"
+
+
+def segmentations(count):
+    """All ways to cut `count` atoms into spans (start, end, kind), kind "" for one atom outside."""
+    if count == 0:
+        yield []
+        return
+    for size in range(1, min(count, pii.LONGEST) + 1):
+        for rest in segmentations(count - size):
+            yield from ([*rest, (count - size, count, kind)] for kind in (*pii.KINDS, *([""] if size == 1 else [])))
+
+
+@pytest.mark.parametrize("text", [
+    "12 4111 1111 1111 1111", "a@b.cd 10.0.0.1 77", "+1 415 555 0100 9", "1.2.3.4 x9 a@b.c", "4111 1111 1111 1111 +1 415 555 0100"])
+def test_best_segmentation_and_likelihood_by_enumeration(field, text):
+    atoms = [a for part in pii.stretches(text) for a in part]
+    spans = pii._candidates(text, atoms)
+
+    def score(cut):
+        return sum(field.scores(dict(spans[end - 1])[end - start])[pii.KINDS.index(kind)] for start, end, kind in cut if kind)
+
+    every = [(score(cut), cut) for cut in segmentations(len(atoms))]
+    found = field.best(text, atoms)
+    best = max(s for s, _ in every)
+    wanted = [(kind, atoms[a][0], atoms[b - 1][1]) for a, b, kind in next(c for s, c in every if s == best) if kind]
+    assert found == wanted
+    # One step moves each weight along the gradient: what the labels have less what the field expects.
+    total = pii._log_sum([s for s, _ in every])
+    weights, gold = dict(field.weights), set(wanted[:1])
+    expected = {}
+    for s, cut in every:
+        for start, end, kind in cut:
+            if kind:
+                for f in dict(spans[end - 1])[end - start]:
+                    expected[kind, f] = expected.get((kind, f), 0.0) + math.exp(s - total)
+    squares = defaultdict(float)
+    pii.Field(changed := dict(weights)).learn(text, atoms, gold, 1e-3, squares)
+    for kind, a, b in gold:
+        last = [e for _, e in atoms].index(b)
+        size = last - [x for x, _ in atoms].index(a) + 1
+        for f in dict(spans[last])[size]:
+            step = 1 - expected[kind, f] - 0.002 * weights.get((kind, f), 0.0)
+            if abs(step) > 0.01 and sum(f in features for row in spans for _, features in row) == 1:
+                assert math.sqrt(squares[kind, f]) == pytest.approx(abs(step), rel=0.02)
+                assert (changed[kind, f] > weights.get((kind, f), 0.0)) == (step > 0)
+
+
+def test_long_address_may_be_added(field):
+    text = "a" * 1500 + "@b.cd"
+    assert pii.span_features(text, 0, len(text), 1)[3:] == ["address", "letters"]
