@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from acerto.config import INTERNAL_TRANSFER, PIX_IN, PIX_OUT, SOURCE_LEDGER, ReconConfig
 from acerto.functions import join_text, local_day, pix_key, tx_key
 from acerto.operators.counted import COPIES, collapse, replicate
-from acerto.sources.scratch import new_folder
+from acerto.sources.scratch import new_folder, until_end
 
 BASE_COLUMNS = ("date_day", "end_to_end_id", "operation", "amount")
 
@@ -104,7 +104,7 @@ def heavy_transfers(ledger: DataFrame, gateway: DataFrame, least: int) -> DataFr
     spark = ledger.sparkSession
     path = new_folder(spark, "heavy-transfers")
     counted(ledger, "transfer_id").join(linked, "transfer_id", "left_semi").write.parquet(path)
-    found = spark.read.parquet(path)
+    found = spark.read.parquet(until_end(spark, path))
     return None if found.isEmpty() else found
 
 

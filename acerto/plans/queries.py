@@ -153,7 +153,7 @@ def _loose_files(spark: SparkSession, sf: str) -> str:
 
     folder = scratch.new_folder(spark, "loose-files")
     mapping.report_lines(spark, sf).select("line").mapInArrow(headed, "line string").write.text(folder)
-    return folder
+    return scratch.until_end(spark, folder)
 
 
 def _zip_files(spark: SparkSession, sf: str) -> str:
@@ -185,7 +185,7 @@ def _zip_files(spark: SparkSession, sf: str) -> str:
 
     lines = mapping.report_lines(spark, sf).select((F.col("event_id") % 8).alias("number"), "member", "line")
     lines.groupBy("number").applyInArrow(write, "number long").write.format("noop").mode("overwrite").save()
-    return folder
+    return scratch.until_end(spark, folder)
 
 
 def _with_problem(rows: DataFrame) -> DataFrame:
@@ -211,10 +211,11 @@ def archive_member_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, sf: str) -> tuple[str, list[dict[str, int]]]:
     """A raw table written by the stream in batches of three archives, and the stream's own row counts."""
-    folder, raw = _zip_files(spark, sf), scratch.new_folder(spark, "raw")
-    running = ingest.ingest_new(spark, folder, raw, scratch.new_folder(spark, "progress"), files_per_batch=3, inserted_at=_loaded())
+    folder, raw, progress = _zip_files(spark, sf), *(scratch.new_folder(spark, name) for name in ("raw", "progress"))
+    running = ingest.ingest_new(spark, folder, raw, progress, files_per_batch=3, inserted_at=_loaded())
     running.awaitTermination()
-    return raw, ingest.row_counts(running)
+    scratch.until_end(spark, progress)
+    return scratch.until_end(spark, raw), ingest.row_counts(running)
 
 
 @query
@@ -249,7 +250,7 @@ def job_curate(spark: SparkSession, sf: str) -> DataFrame:
     raw, curated = _ingested(spark, sf)[0], scratch.new_folder(spark, "curated")
     for _ in range(2):
         job.curate(spark, raw, curated)
-    return _unzoned(spark.read.parquet(curated).drop("report_day"))
+    return _unzoned(spark.read.parquet(scratch.until_end(spark, curated)).drop("report_day"))
 
 
 @query
@@ -258,7 +259,7 @@ def append_batches(spark: SparkSession, sf: str) -> DataFrame:
     staged, target = staging.stage_report(mapping.report(spark, sf), _loaded()), scratch.new_folder(spark, "batches")
     for batch, test in (("geral", "operation = 'Geral'"), ("other", "operation <> 'Geral'"), ("geral", "operation = 'Geral'")):
         tables.append_batch(staged.filter(test), target, batch)
-    return _unzoned(spark.read.parquet(target).drop("batch"))
+    return _unzoned(spark.read.parquet(scratch.until_end(spark, target)).drop("batch"))
 
 
 @query

@@ -29,3 +29,16 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nobody uses yet."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its class of paths."""
+    kind = spark._jvm.org.apache.hadoop.fs.Path
+    return kind(path).getFileSystem(spark._jsc.hadoopConfiguration()), kind
+
+
+def until_end(spark: SparkSession, path: str) -> str:
+    """``path``, which exists, to be deleted when the driver ends; results may be read from it until then."""
+    system, kind = file_system(spark, path)
+    system.deleteOnExit(kind(path))
+    return path

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acerto import schemas
+from acerto.sources.scratch import file_system
 
 
 def read_table(spark: SparkSession, name: str, columns: tuple[str, ...] | None = None) -> DataFrame:
@@ -63,7 +64,7 @@ def replace_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()
     fresh, former = _beside(target, "new"), _beside(target, "old")
     recover_table(df.sparkSession, target)
     writer.parquet(fresh)
-    system, path = _file_system(df.sparkSession, target)
+    system, path = file_system(df.sparkSession, target)
     if system.exists(path(target)) and not system.rename(path(target), path(former)):
         raise OSError(f"cannot rename {target}")
     system.mkdirs(path(target).getParent())
@@ -74,7 +75,7 @@ def replace_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()
 
 def recover_table(spark: SparkSession, target: str) -> None:
     """Finish an exchange of ``target`` that died between its renames: the former files come back."""
-    system, path = _file_system(spark, target)
+    system, path = file_system(spark, target)
     former = path(_beside(target, "old"))
     if not system.exists(former):
         return
@@ -89,15 +90,9 @@ def _beside(target: str, kind: str) -> str:
     return f"{folder}/.{kind}_{name}" if folder else f".{kind}_{name}"
 
 
-def _file_system(spark: SparkSession, target: str):
-    """Hadoop's file system of ``target`` and its class of paths."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    return path(target).getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
 def has_files(spark: SparkSession, target: str) -> bool:
     """Whether there is a table of files at a path: a file, or a folder with a partition or a file that readers see."""
-    system, path = _file_system(spark, target)
+    system, path = file_system(spark, target)
     if not system.exists(path(target)):
         return False
     names = [found.getPath().getName() for found in system.listStatus(path(target))]

@@ -1,6 +1,9 @@
 """Archives by member, rows accounted for, tables exchanged and appended once, curation by day."""
 
 import os
+import subprocess
+import sys
+import time
 from datetime import date
 
 import pytest
@@ -164,6 +167,26 @@ def test_first_run_without_reports(spark, tmp_path):
     assert spark.read.parquet(path["daily"]).first().nb_mismatch_tx_pix_in == 0
 
 
+def test_scratch_tables_go_when_the_driver_ends(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from pyspark.sql import SparkSession
+from acerto.sources import scratch
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+path = scratch.new_folder(spark, "kept")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(scratch.until_end(spark, path)).count() == 3
+"""
+    environment = {k: v for k, v in os.environ.items() if k not in ("PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, env=environment, capture_output=True)
+    deadline = time.time() + 20
+    while any("kept" in name for name in os.listdir(tmp_path)) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not any("kept" in name for name in os.listdir(tmp_path))
+
+
 def test_folders_must_be_shared_on_a_cluster(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
