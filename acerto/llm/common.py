@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acerto.sources.scratch import new_folder, shared_folder
+from acerto.sources.scratch import new_folder, shared_folder, until_end
 
 #: White space between words, as a character class for a regular expression.
 SPACE = r"\x20\x09-\x0D"
@@ -27,12 +27,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder, read again.
 
     Cuts the lineage, so a lost executor costs one reread, and gives the planner the
-    table's true size. The table stays there, as later results may still be read from it.
+    table's true size. The table stays until the driver ends, as later results may still be read from it.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(until_end(spark, path))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
