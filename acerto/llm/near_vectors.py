@@ -109,7 +109,10 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
     and component_id null. Repeated rows count one by one in n_links, and so do rows that share an id but not a vector, each
     by its own vector. An empty table gives an empty result; other columns are ignored.
     """
-    values = F.col("v").cast("array<double>")
+    # Floats stay floats on the way, which loses nothing; all computing is in doubles.
+    element = rows.schema[vector_column].dataType.elementType.simpleString()
+    kind = f"array<{'float' if element == 'float' else 'double'}>"
+    values = F.col("v").cast(kind)
     good = (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) \
         & F.exists("v", lambda x: x != 0)
     base = rows.select(F.col(id_column).alias("id"), F.col(vector_column).alias("v")).select(
@@ -126,7 +129,7 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
         for batch in batches:
             lists = batch.column(0)
             sizes = np.diff(np.asarray(lists.offsets))
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             starts = np.cumsum(sizes) - sizes
             for size in np.unique(sizes):
                 size = int(size)
@@ -140,22 +143,22 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
                 turned = unit @ turns[size].T
                 codes = turned[:, :size] >= 0
                 factors = np.abs(turned[:, :size]).sum(axis=1) / math.sqrt(size)
-                keys = np.zeros((len(x), tables), np.int64)
+                keys = np.zeros((len(x), tables), np.int32)
                 for t in range(tables):
                     part = turned[:, size + t * signs:size + (t + 1) * signs] >= 0
-                    keys[:, t] = part @ (1 << np.arange(signs, dtype=np.int64)) if signs else 0
+                    keys[:, t] = part @ (1 << np.arange(signs, dtype=np.int32)) if signs else 0
                 index = pa.array(chosen)
                 yield pa.RecordBatch.from_arrays(
                     [lists.take(index), batch.column(1).take(index), batch.column(2).take(index),
                      pa.array([c.tobytes() for c in np.packbits(codes, axis=1)], pa.binary()),
                      pa.array(factors), pa.array(np.full(len(x), size), pa.int32()),
-                     pa.array(list(keys), pa.list_(pa.int64()))],
+                     pa.array(list(keys), pa.list_(pa.int32()))],
                     names=["v", "class", "copies", "code", "factor", "size", "keys"])
 
     named = classes.where("id is not null")
     codes = written(named.select("v", "class", "copies").mapInArrow(
-        coded, "v array<double>, class bigint, copies bigint, code binary, factor double, size int,"
-               " keys array<bigint>"), "vector-codes")
+        coded, f"v {kind}, class bigint, copies bigint, code binary, factor double, size int,"
+               " keys array<int>"), "vector-codes")
     placed = codes.select("*", F.posexplode("keys").alias("table", "key"))
     sizes = codes.select("size", F.posexplode("keys").alias("table", "key")).groupBy("size", "table", "key").agg(
         F.ceil(F.count("*") / block).cast("int").alias("blocks")).where("blocks > 1")
@@ -164,7 +167,8 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
                .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")))
     tiles = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-             .select("size", "table", "key", "low", "high", "block", "class", "copies", "v", "code", "factor", "keys"))
+             .select("size", "table", "key", "low", "high", "block", "class", "copies", "v", "code", "factor",
+                     F.slice("keys", F.lit(1), F.col("table")).alias("keys")))  # of the earlier tables
 
     def compared(key: tuple, group: pa.Table) -> pa.Table:
         size, table, _, low, high = (k.as_py() for k in key)
@@ -172,11 +176,11 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector_column: str
         order = np.argsort(group["class"].to_numpy(), kind="stable")
         ids, copies = group["class"].to_numpy()[order], group["copies"].to_numpy()[order]
         blocks = group["block"].to_numpy()[order]
-        v = _scaled(group["v"].combine_chunks().flatten().to_numpy().reshape(-1, size)[order])
+        v = _scaled(group["v"].combine_chunks().flatten().to_numpy().reshape(-1, size)[order].astype(np.float64))
         turned = ((v / np.linalg.norm(v, axis=1, keepdims=True)) @ rotation(size, seed).T).astype(np.float32)
         bits = np.frombuffer(b"".join(group["code"].to_pylist()), np.uint8).reshape(len(ids), -1)[order]
         code = np.unpackbits(bits, axis=1, count=size).astype(np.float32) * 2 - 1
-        keys = group["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[order]
+        keys = group["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), table)[order]
         data = {"id": ids, "vector": v, "norm": np.linalg.norm(v, axis=1), "turned": turned, "code": code,
                 "factor": group["factor"].to_numpy()[order].astype(np.float32), "keys": keys}
         at = [np.flatnonzero(blocks == b) for b in (low, high)]
