@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,3 +65,17 @@ def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatc
     step = max(1, int(rows * size / max(batch.nbytes, 1)))
     for start in range(0, rows, step):
         yield batch.slice(start, step)
+
+
+_HELD: list[Callable[[], None]] = []
+
+
+def held_by_worker(free: Callable[[], None]) -> None:
+    """Registers what frees memory that a Python worker holds from task to task."""
+    _HELD.append(free)
+
+
+def free_held() -> None:
+    """Frees what earlier tasks of other operators hold in this Python worker, for tasks that need the memory."""
+    for free in _HELD:
+        free()

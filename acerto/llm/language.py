@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import slices, written
+from .common import free_held, slices, written
 
 _CELLS = 1 << 16
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -98,6 +98,7 @@ def train(rows: DataFrame, text_column: str = "text", declared_column: str = "la
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """place, cell, n: numbers of trigrams in the texts of each language, summed within each part of a batch."""
+    free_held()
     for batch in batches:
         for part in slices(batch):
             for place in pc.unique(part.column(0)):
@@ -112,6 +113,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _scored(rows: DataFrame, model: Model, most_trigrams: int) -> DataFrame:
     """`rows` with text_score: the text's log-likelihood in each language; null without a trigram."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_held()
         for batch in batches:
             for part in slices(batch, 1 << 21):
                 cells, bounds = _trigrams(part.column(part.schema.get_field_index("_text")))

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, slices, written
+from .common import checkpointed, free_held, slices, written
 from .components import components
 
 _CHUNK = 1 << 20
@@ -168,6 +168,7 @@ def parities(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Arr
 def _sketch(rows: DataFrame, size: int, bits: int) -> np.ndarray:
     """Number of sets with a shingle in each of 2 ** `bits` cells: orders shingles by rareness."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_held()
         cells = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for part in slices(batch, _CHUNK):

@@ -27,11 +27,11 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import held_by_worker, slices
 
 MARK = "▁"
 _LONGEST_CACHED = 64
-_CACHED = 150_000  # parts in a generation of the cache; about 35 MB
+_CACHED = 100_000  # parts in a generation of the cache; about 25 MB
 
 
 class Agenda:
@@ -114,7 +114,12 @@ class Agenda:
         return found
 
     def merge_all(self, parts: list[str]) -> list[list[int]]:
-        """As `merge` for each of `parts`, which are short: one merge of each per round."""
+        """As `merge` for each of `parts`, which are short."""
+        ids, ends = self.merged(parts)
+        return [ids[a:b].tolist() for a, b in zip([0, *ends], ends)]
+
+    def merged(self, parts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The ids of all `parts`, which are short, end to end, and where each one's end: one merge of each per round."""
         size, never = len(self.bytes), np.int64(2**62)
         text = "".join(parts)
         known = {c: self.ids.get(c, -1 - k) for k, c in enumerate(set(text))}  # below 0: not in the vocabulary
@@ -159,32 +164,46 @@ class Agenda:
                 places[-1] = never >> 20
         symbols, owner = np.concatenate(done_symbols), np.concatenate(done_owners)
         order = np.argsort(owner, kind="stable")
-        ends = np.searchsorted(owner[order], np.arange(1, len(parts) + 1)).tolist()
-        flat = symbols[order].tolist()
-        found, start = [], 0
-        for end in ends:
-            ids = flat[start:end]
-            if min(ids) < 0:
-                ids = [i for s in ids for i in strange.get(s, (s,))]
-            found.append(ids)
-            start = end
-        return found
+        symbols, owner = symbols[order], owner[order]
+        if strange:  # a character outside the vocabulary becomes the ids of its bytes
+            sizes = np.ones(len(symbols), np.int64)
+            unknown = np.flatnonzero(symbols < 0)
+            spelled = [strange[i] for i in symbols[unknown].tolist()]
+            sizes[unknown] = [len(x) for x in spelled]
+            starts = np.cumsum(sizes) - sizes
+            symbols, owner = np.repeat(symbols, sizes), np.repeat(owner, sizes)
+            for at, found in zip(starts[unknown].tolist(), spelled):
+                symbols[at:at + len(found)] = found
+        return symbols, np.searchsorted(owner, np.arange(1, len(parts) + 1)).tolist()
 
     def _checked(self, parts: list[str]) -> int:
         """Encodes and caches `parts`; how many the library encodes differently."""
+        differ = 0
         short = [p for p in parts if len(p) <= _LONGEST_CACHED]
-        found = []
         for start in range(0, len(short), 10_000):  # 20 bits hold a symbol's number
-            found += self.merge_all([MARK + p for p in short[start:start + 10_000]])
-        long = [p for p in parts if len(p) > _LONGEST_CACHED]
-        found += [self.merge(MARK + p) for p in long]
-        differ = 0
-        wanted = self.library.encode([p.replace(MARK, " ") for p in short + long], num_threads=1)
-        for part, ids, library in zip(short + long, found, wanted):
-            differ += ids != library and part != ""  # the library encodes the empty text as nothing
-            self.cache[part] = array("I", ids).tobytes()
+            some = short[start:start + 10_000]
+            ids, ends = self.merged([MARK + p for p in some])
+            differ += self._differing(some, ids, ends)
+            flat = ids.astype("<u4").tobytes()
+            self.cache.update((part, flat[4 * a:4 * b]) for part, a, b in zip(some, [0, *ends], ends))
+        for part in parts:
+            if len(part) > _LONGEST_CACHED:
+                ids = self.merge(MARK + part)
+                differ += self._differing([part], np.array(ids, np.int64), [len(ids)])
+                self.cache[part] = array("I", ids).tobytes()
         return differ
 
+    def _differing(self, parts: list[str], ids: np.ndarray, ends: list[int]) -> int:
+        """How many of `parts`, whose ids stand end to end, the library encodes differently."""
+        wanted = self.library.encode([p.replace(MARK, " ") for p in parts], num_threads=1)
+        if "" in parts:  # the library encodes the empty text as nothing
+            i = parts.index("")
+            wanted[i] = ids[ends[i - 1] if i else 0:ends[i]].tolist()
+        sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
+        if (np.cumsum(sizes) == ends).all() and (np.fromiter(chain.from_iterable(wanted), np.int64, len(ids)) == ids).all():
+            return 0
+        return sum(w != ids[a:b].tolist() for w, a, b in zip(wanted, [0, *ends], ends))
+
     def _renew(self, parts: set[str]) -> None:
         """Makes a full generation the older one; parts of it that are met again live on in the new one."""
         if len(self.cache) > _CACHED:
@@ -213,6 +232,10 @@ class Agenda:
             differ += self.library_ids(texts[0]) != encoded[0]
         return encoded, differ
 
+    def forget(self) -> None:
+        """Frees the cache."""
+        self.cache, self.older = {}, {}
+
     def library_ids(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_bos=True, add_eos=True)).tobytes()
 
@@ -224,8 +247,10 @@ class Agenda:
 
 @lru_cache(maxsize=2)
 def agenda(model_file: str) -> Agenda:
-    """One encoder for each Python worker, with its cache."""
-    return Agenda(model_file)
+    """One encoder for each Python worker, with its cache, which goes when another operator starts in the worker."""
+    found = Agenda(model_file)
+    held_by_worker(found.forget)
+    return found
 
 
 def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
