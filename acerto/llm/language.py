@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import free_held, slices, written
+from .common import free_held, settle, slices, written
 
 _CELLS = 1 << 16
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -108,6 +108,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(used), place.as_py(), np.int32)), pa.array(used.astype(np.int32)),
                      pa.array(counts[used].astype(np.int64))], names=["place", "cell", "n"])
+        settle()
 
 
 def _scored(rows: DataFrame, model: Model, most_trigrams: int) -> DataFrame:
@@ -126,6 +127,7 @@ def _scored(rows: DataFrame, model: Model, most_trigrams: int) -> DataFrame:
                 scores -= scores.max(axis=1, keepdims=True)
                 lists = pa.array([row if n else None for row, n in zip(scores.tolist(), counts)], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "text_score"])
+            settle()
 
     return rows.mapInArrow(work, StructType(
         [*rows.schema.fields, StructField("text_score", ArrayType(DoubleType()))]))

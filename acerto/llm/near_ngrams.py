@@ -32,13 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, free_held, slices, written
+from .common import checkpointed, free_held, settle, slices, written
 from .components import components
 
 _CHUNK = 1 << 20
 _LIST = 65536  # a longer list of a shingle is cut in the first pass
 _BITS = 512  # of the bitmap that every set has
 _SALTED = 0x4C957F2D  # makes lists of a cut shingle different
+_PART = 4096  # entries in a part of a list in the third pass
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -174,6 +175,7 @@ def _sketch(rows: DataFrame, size: int, bits: int) -> np.ndarray:
             for part in slices(batch, _CHUNK):
                 hashes, _ = shingle_sets(part.column(0), size)
                 cells += np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=len(cells))
+            settle()
         used = np.flatnonzero(cells)
         for at in range(0, len(used), 65536):
             some = used[at:at + 65536]
@@ -214,6 +216,7 @@ def _signed(rows: DataFrame, id_type: str, size: int, percent: int, sketch: np.n
                      _lists(prefix, ends),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(parts[cells[order][inside]]))],
                     names=["id", "n", "set_a", "set_b", "prefix_key", "bits", "wide", "prefix", "salts"])
+            settle()
 
     return rows.select("id", "text").mapInArrow(
         work, f"id {id_type}, n bigint, set_a bigint, set_b bigint, prefix_key bigint,"
@@ -226,6 +229,7 @@ def _sets(rows: DataFrame, id_type: str, size: int) -> DataFrame:
             for part in slices(batch, _CHUNK):
                 hashes, bounds = shingle_sets(part.column(1), size)
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(hashes, bounds)], names=["class", "hashes"])
+            settle()
 
     return rows.select("id", "text").mapInArrow(work, f"class {id_type}, hashes array<bigint>")
 
@@ -282,6 +286,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, id_type: str, size: int, perce
                 keep[i] = 100 * common >= percent * (len(both) - common)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["left", "right"]) \
                 .filter(pa.array(keep))
+            settle()
 
     pairs = written(pairs, "ngram-pairs")
     count = pairs.count()
@@ -431,15 +436,18 @@ def _passes(leaders: DataFrame, members: DataFrame, texts: DataFrame, id_type: s
 
     rest = labelled(links)
     largest = (rest.groupBy("token", "component").count().groupBy("token")
-               .agg(F.max_by("component", F.struct("count", "component")).alias("largest")))
+               .agg(F.max_by("component", F.struct("count", "component")).alias("largest"),
+                    F.ceil(F.sum("count") / _PART).cast("int").alias("parts")))
     bits = members.select("class", "bits")
     placed = rest.join(bits, rest["entry.class"] == bits["class"]).join(largest, "token").select(
         "token", F.struct("entry.class", "entry.n", "entry.place", "bits").alias("x"), F.col("component").alias("of_x"),
-        (F.col("component") == F.col("largest")).alias("in_largest"))
-    small = placed.where("not in_largest").alias("a")
-    every = placed.select("token", F.col("x").alias("y"), F.col("of_x").alias("of_y"), "in_largest").alias("b")
+        (F.col("component") == F.col("largest")).alias("in_largest"), "parts")
+    # A long list is cut on one side, and the other side goes to each part; only the longest have more than one.
+    small = placed.where("not in_largest").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("a")
+    every = placed.select("token", F.pmod(F.xxhash64("x.class"), F.col("parts")).cast("int").alias("part"), F.col("x").alias("y"),
+                          F.col("of_x").alias("of_y"), "in_largest").alias("b")
     # All of it is a condition of the join, so that only pairs to verify come out of it.
-    wanted = F.expr(f"a.token = b.token and a.of_x <> b.of_y and (b.in_largest or a.x.class < b.y.class)"
+    wanted = F.expr(f"a.token = b.token and a.part = b.part and a.of_x <> b.of_y and (b.in_largest or a.x.class < b.y.class)"
                     f" and {_early(percent)} and {_alike(percent, 'x', 'y')}")
     across = small.join(every, wanted).select("x", "y")
     return links.unionByName(verified(_filtered(_possible(across, percent), members, percent)))

@@ -27,7 +27,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import held_by_worker, slices
+from .common import held_by_worker, settle, slices
 
 MARK = "▁"
 _LONGEST_CACHED = 64
@@ -279,6 +279,7 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
                      pa.array([coder.decode(ids) for ids in encoded], pa.string()),
                      pa.array([0] * len(texts), pa.int64())],
                     names=[id_column, "ids", "decoded", "differ"])
+            settle()
 
     return rows.select(id_column, text_column).mapInArrow(
         work, f"`{id_column}` {id_type}, ids binary, decoded string, differ bigint")

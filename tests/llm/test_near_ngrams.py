@@ -142,7 +142,9 @@ def test_long_texts(frame, words):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ng.jaccard_join(frame(rows)).collect()} == brute(rows)
 
 
-def test_large_family(frame, crowd):
+@pytest.mark.parametrize("part", [4096, 16])
+def test_large_family(frame, crowd, monkeypatch, part):
+    monkeypatch.setattr(ng, "_PART", part)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ng.jaccard_join(frame(crowd)).collect()}
     assert found == brute(crowd)
 
