@@ -68,6 +68,14 @@ def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(start, step)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds the rows of the session's Arrow batches, which Spark counts but does not weigh: 10,000 long texts take much
+    memory in the JVM and in the worker. A smaller bound stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def settle() -> None:
     """Gives free memory back to the system. A Python worker keeps what numpy and Arrow have freed, and stays between tasks."""
     pa.default_memory_pool().release_unused()

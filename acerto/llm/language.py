@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import free_held, settle, slices, written
+from .common import free_held, settle, slices, small_batches, written
 
 _CELLS = 1 << 16
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -70,6 +70,7 @@ def train(rows: DataFrame, text_column: str = "text", declared_column: str = "la
     characters. Trigrams are counted in the tasks; the driver and each worker hold 256 kB for each language.
     "und" and "other" name no language.
     """
+    small_batches(rows.sparkSession)
     labelled = rows.where(F.length(text_column) > 0).select(
         _named(F.col(declared_column)).alias("language"), F.col(text_column).alias("text")).where(
         ~F.col("language").isin("", "und", "other"))
@@ -166,6 +167,7 @@ def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host
     The text is read twice, for the counts and for the result. The counts are one row for each host,
     domain and suffix; hosts are joined by Spark's choice, with hot ones split by adaptive execution.
     """
+    small_batches(rows.sparkSession)
     languages = model.languages
     size = len(languages)
     clean = _named(declared)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, free_held, settle, slices, written
+from .common import checkpointed, free_held, settle, slices, small_batches, written
 from .components import components
 
 _CHUNK = 1 << 20
@@ -345,6 +345,7 @@ def jaccard_join(rows: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     options = {"size": size, "percent": percent, "sketch_bits": sketch_bits, "most_broadcast": most_broadcast}
     id_type = rows.schema[id_column].dataType.simpleString()
+    small_batches(rows.sparkSession)
     texts = rows.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     signed = written(_signed(texts, id_type, size, percent, _sketch(texts, size, sketch_bits)), "ngram-signed")
     keys = ["n", "prefix_key", "set_a", "set_b"]

@@ -27,7 +27,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .common import held_by_worker, settle, slices
+from .common import held_by_worker, settle, slices, small_batches
 
 MARK = "▁"
 _LONGEST_CACHED = 64
@@ -263,11 +263,12 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
     place on every executor, as the library does.
     """
     id_type = rows.schema[id_column].dataType.simpleString()
+    small_batches(rows.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = agenda(model_file)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 2 << 20):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 encoded, differ = coder.encode(texts)
                 if differ:
@@ -279,7 +280,7 @@ def encode(rows: DataFrame, model_file: str, id_column: str = "doc_id", text_col
                      pa.array([coder.decode(ids) for ids in encoded], pa.string()),
                      pa.array([0] * len(texts), pa.int64())],
                     names=[id_column, "ids", "decoded", "differ"])
-            settle()
+                settle()
 
     return rows.select(id_column, text_column).mapInArrow(
         work, f"`{id_column}` {id_type}, ids binary, decoded string, differ bigint")

@@ -67,7 +67,9 @@ def test_a_text_that_differs_fails_with_its_id(frame, monkeypatch):
     monkeypatch.setattr(coder, "merged", wrong)
     monkeypatch.setattr(piece_tokens, "agenda", lambda model: coder)
     rows = pa.record_batch([pa.array([7, 8, 9]), pa.array(["all right", "this is odd", "right"])], names=["doc_id", "text"])
+
     class Rows:
+        sparkSession = frame([]).sparkSession
         schema = {"doc_id": type("Field", (), {"dataType": type("Long", (), {"simpleString": lambda self: "bigint"})()})()}
 
         def select(self, *names):
