@@ -13,6 +13,7 @@ from acerto.config import ReconConfig
 from acerto.functions import pix_key
 from acerto.operators import daily, jd as jd_side, ledger as ledger_side, match
 from acerto.operators.daily import FLOWS, JD_OPERATION, UNMATCHED_MEASURES
+from acerto.sources.scratch import new_folder, until_end
 
 
 def reconcile_daily_stepwise(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
@@ -46,20 +47,22 @@ def reconcile_daily(ledger: DataFrame, gateway: DataFrame, jd: DataFrame,
     4. The fitting case is picked and summed per calendar day.
 
     The gateway link pairs the rows and the links of a transfer. Of transfers with more than ``heavy`` of both, the pairs
-    are not formed but counted (``heavy_sums``); whether there are any is looked up by a job when this is called, unless ``heavy`` is None.
+    are not formed but counted (``transfer_sums``, ``heavy_sums``); whether there are any is looked up by a job when this is called, unless
+    ``heavy`` is None. If there are, their links are then written to a table.
     """
     signed = ledger_side.signed_rows(ledger, config)
     reported = jd_side.jd_transactions(
         jd_side_window(jd, config), config).filter(daily.in_calendar(config))
     found = None if heavy is None else ledger_side.heavy_transfers(ledger, gateway, heavy)
     if found is None:
-        sums = per_id_day(per_key(ledger_side.linked_rows(signed, gateway), reported))
+        per_day = pick_case(per_id_day(per_key(ledger_side.linked_rows(signed, gateway), reported)))
     else:
         light = ledger_side.linked_rows(signed.join(found, "transfer_id", "left_anti"), gateway)
         groups, links = heavy_groups(signed, found), heavy_links(gateway, found)
         keys = per_key(light, reported, heavy_matches(groups, links, reported))
-        sums = per_id_day(keys, heavy_sums(groups, links))
-    per_day = pick_case(sums)
+        by_day, alone, shared = heavy_days(groups), links.filter("alone"), links.filter("not alone")
+        own = heavy_sums(by_day, shared).unionByName(removed_ids(by_day, alone), allowMissingColumns=True)
+        per_day = pick_case(per_id_day(keys, own)).unionByName(transfer_sums(by_day, alone))
     days = daily.calendar(ledger.sparkSession, config)
     filled = daily.fill_days(days, per_day.filter(daily.in_calendar(config)),
                              defaults=UNMATCHED_MEASURES)
@@ -72,21 +75,32 @@ def heavy_groups(signed: DataFrame, heavy: DataFrame) -> DataFrame:
 
 
 def heavy_links(gateway: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Equal links of heavy transfers, counted in ``m``."""
+    """Equal links of heavy transfers, counted in ``m``, as a written table. ``alone`` if their id is missing or has no link to another transfer."""
     links = gateway.select(F.col("ledger_transfer_id").alias("transfer_id"), "end_to_end_id")
-    return links.join(heavy, "transfer_id", "left_semi").groupBy(*links.columns).agg(F.count("*").alias("m"))
+    several = (links.groupBy("end_to_end_id").agg((F.min("transfer_id") != F.max("transfer_id")).alias("several"))
+               .filter("several and end_to_end_id is not null"))
+    counted = links.join(heavy, "transfer_id", "left_semi").groupBy(*links.columns).agg(F.count("*").alias("m"))
+    spark = gateway.sparkSession
+    path = new_folder(spark, "heavy-links")
+    counted.join(several, "end_to_end_id", "left").select(*counted.columns, F.isnull("several").alias("alone")).write.parquet(path)
+    return spark.read.parquet(until_end(spark, path))
 
 
-def heavy_sums(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """The (id, day) sums of heavy transfers as if no pair had a partner on the provider's side.
-
-    A transfer's rows are summed per day first, so a link meets a row for each day, not each row. What
-    ``heavy_matches`` finds is taken off by its key.
-    """
+def heavy_days(groups: DataFrame) -> DataFrame:
+    """The rows of heavy transfers summed per day, and whether the transfer nets to zero on any day (``removed``)."""
     per_day = groups.groupBy("transfer_id", "date_day").agg(
         F.expr("sum(sided_amount * n)").alias("amount"),
         *_per_flow("sum(if(operation = '{flow}', n, 0L)) as rows_{flow}",
                    "sum(if(operation = '{flow}', sided_amount * n, 0L)) as total_{flow}"))
+    return per_day.select("*", F.expr("coalesce(max(amount = 0) over (partition by transfer_id), false) as removed"))
+
+
+def heavy_sums(per_day: DataFrame, links: DataFrame) -> DataFrame:
+    """The (id, day) sums of heavy transfers as if no pair had a partner on the provider's side.
+
+    A link meets a row for each day, not each row. What ``heavy_matches`` finds is taken off by its key. Meant for ids
+    that need their days by themselves, as other transfers add to them.
+    """
     return links.join(per_day, "transfer_id").select(
         F.col("end_to_end_id").alias("ledger_id"), "date_day",
         *_exprs("if(end_to_end_id is not null, amount * m, null) as net_amount"),
@@ -96,6 +110,27 @@ def heavy_sums(groups: DataFrame, links: DataFrame) -> DataFrame:
                    "if(end_to_end_id is null, coalesce(total_{flow} * m, 0L), 0L) as removed_amount_{flow}"))
 
 
+def transfer_sums(per_day: DataFrame, alone: DataFrame) -> DataFrame:
+    """The daily measures of heavy transfers' ids without another transfer, in the columns of ``pick_case``.
+
+    All of a transfer's ids net to zero on the same days, so they are removed or kept together, and links are
+    counted per transfer before they meet its days. Rows without an id are always kept.
+    """
+    links = alone.groupBy("transfer_id").agg(*_exprs(
+        "sum(m) as m", "sum(if(end_to_end_id is null, m, 0L)) as no_id_m"))
+    return links.join(per_day, "transfer_id").select("date_day", *_per_flow(
+        "total_{flow} * m as amount_ledger_{flow}", "cast(null as bigint) as amount_jd_{flow}",
+        "rows_{flow} * if(removed, no_id_m, m) as nb_mismatch_tx_{flow}", "0L as nb_correction_tx_{flow}",
+        "coalesce(total_{flow} * if(removed, no_id_m, m), 0L) as amount_mismatch_tx_{flow}", "0L as amount_correction_tx_{flow}"))
+
+
+def removed_ids(per_day: DataFrame, alone: DataFrame) -> DataFrame:
+    """The ids of ``transfer_sums`` that are removed, as a net amount of zero on no day: it reaches their keys, and no day of the result."""
+    removed = per_day.filter("removed").select("transfer_id").distinct()
+    return alone.filter("end_to_end_id is not null").join(removed, "transfer_id", "left_semi").select(
+        F.col("end_to_end_id").alias("ledger_id"), *_exprs("cast(null as date) as date_day", "0L as net_amount"))
+
+
 def heavy_matches(groups: DataFrame, links: DataFrame, reported: DataFrame) -> DataFrame:
     """The pairs of heavy transfers whose key the provider has on their day, as ledger rows for ``per_key`` that stand for ``n * m`` each.
 

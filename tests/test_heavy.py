@@ -8,8 +8,16 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from acerto.config import ReconConfig
-from acerto.operators.ledger import heavy_transfers
-from acerto.plans.reconcile import reconcile_daily, reconcile_daily_stepwise
+from acerto.operators.ledger import heavy_transfers, signed_rows
+from acerto.plans.reconcile import (
+    heavy_days,
+    heavy_groups,
+    heavy_links,
+    reconcile_daily,
+    reconcile_daily_stepwise,
+    removed_ids,
+    transfer_sums,
+)
 from acerto.plans.sql import recon_daily_text, reconcile_daily_sql
 
 CONFIG = ReconConfig(as_of=date(2021, 6, 12), calendar_start=date(2021, 6, 1), ledger_start=date(2021, 5, 28), zone="UTC")
@@ -81,6 +89,38 @@ def test_ten_thousand_rows_and_links_make_no_pairs(spark):
                                                + sum(i + 1 for i in moved))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_of_one_heavy_transfer_share_their_sums(spark, seed):
+    pick = random.Random(seed)
+    moment = lambda: datetime(2021, 5, 30) + timedelta(days=pick.randint(0, 6))
+    ledger = [(pick.choice([1, 2, 3]), moment(), pick.choice(["pix_in", "pix_out"]), pick.choice(["TransferIn", "TransferOut"]), pick.choice([1, 2, 5, None]), 7)
+              for _ in range(60)]
+    gateway = ([(t, f"{t}-{i}") for t in (1, 2, 3) for i in range(6) for _ in range(pick.randint(1, 2))]
+               + [(t, None) for t in (1, 1, 3)] + [(1, "both"), (2, "both"), (4, "1-0"), (None, "2-0"), (3, "")])
+    jd = [(moment(), None, "Credito", amount, "Geral", "Efetivado", f"{ident or ''},{amount}")
+          for ident in ("1-0", "1-1", "2-0", "3-2", "both", None, "x") for amount in (1, -2, 5) for _ in range(2)]
+    inputs = [spark.createDataFrame(found, schema) for found, schema in ((ledger, LEDGER), (gateway, GATEWAY), (jd, JD))]
+    formed = rows(reconcile_daily(*inputs, CONFIG, heavy=None))
+    assert formed == rows(reconcile_daily_stepwise(*inputs, CONFIG))
+    for least in (0, 4):
+        assert rows(reconcile_daily(*inputs, CONFIG, heavy=least)) == formed
+
+
+def test_links_of_a_heavy_transfer_do_not_meet_its_days(spark):
+    """Ids without another transfer are one row at most each, however many days their transfer has."""
+    day = "timestamp_ntz'2021-06-01' + make_dt_interval(cast(id % 10 as int))"
+    ledger = spark.range(200).selectExpr("1L as transfer_id", f"{day} as utc_datetime", "'pix_in' as type",
+                                         "if(id % 20 < 10, 'TransferIn', 'TransferOut') as direction", "5L as amount", "7L as account_id")
+    signed = signed_rows(ledger, CONFIG)
+    gateway = spark.range(300).selectExpr("if(id < 299, 1L, 2L) as ledger_transfer_id", "concat('E', id % 298) as end_to_end_id")
+    heavy = spark.range(1, 2).toDF("transfer_id")
+    links, days = heavy_links(gateway, heavy), heavy_days(heavy_groups(signed, heavy))
+    alone = links.filter("alone")
+    assert sorted(r.end_to_end_id for r in links.filter("not alone").collect()) == ["E1"]
+    assert (alone.count(), days.count(), transfer_sums(days, alone).count()) == (297, 10, 10)
+    assert removed_ids(days, alone).count() == 297
+
+
 def test_excluded_accounts_in_all_forms(spark):
     inputs = tables(spark, 11)
     listed = replace(CONFIG, excluded_accounts=(8, 9))
