@@ -162,29 +162,38 @@ def _zip_files(spark: SparkSession, sf: str) -> str:
     base = folder.removeprefix("file:")
     base = "/" + base.lstrip("/") if base != folder else base
 
-    def write(table: pa.Table) -> pa.Table:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import itertools
         import os
         import zipfile
 
         import pyarrow as pa
 
-        number = table.column("number")[0].as_py()
-        os.makedirs(base, exist_ok=True)
-        partial = f"{base}/.{number}.{os.getpid()}"
-        texts: dict[str, list[str]] = {}
-        for name, line in zip(table.column("member").to_pylist(), table.column("line").to_pylist()):
-            texts.setdefault(name, [header]).append(line)
-        with zipfile.ZipFile(partial, "w", zipfile.ZIP_DEFLATED) as zipped:
-            for name, lines in sorted(texts.items()):
-                zipped.writestr(name, "\n".join(lines) + "\n")
-        if number == 0:  # what a transfer that broke off leaves
-            with open(partial, "r+b") as file:
-                file.truncate(os.path.getsize(partial) // 2)
-        os.replace(partial, f"{base}/{number}.zip")
-        return pa.table({"number": pa.array([number], pa.int64())})
+        def texts():
+            """Number, member and lines of a stretch of rows with the same member; a batch is held, not a member."""
+            for batch in batches:
+                rows = zip(*(batch.column(c).to_pylist() for c in ("number", "member", "line")))
+                for (number, name), found in itertools.groupby(rows, key=lambda r: r[:2]):
+                    yield number, name, "".join(f"{line}\n" for _, _, line in found)
+
+        for number, stretches in itertools.groupby(texts(), key=lambda t: t[0]):
+            os.makedirs(base, exist_ok=True)
+            partial = f"{base}/.{number}.{os.getpid()}"
+            with zipfile.ZipFile(partial, "w", zipfile.ZIP_DEFLATED) as zipped:
+                for name, parts in itertools.groupby(stretches, key=lambda t: t[1]):
+                    with zipped.open(name, "w", force_zip64=True) as member:
+                        member.write(f"{header}\n".encode())
+                        for _, _, text in parts:
+                            member.write(text.encode())
+            if number == 0:  # what a transfer that broke off leaves
+                with open(partial, "r+b") as file:
+                    file.truncate(os.path.getsize(partial) // 2)
+            os.replace(partial, f"{base}/{number}.zip")
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64())], names=["number"])
 
     lines = mapping.report_lines(spark, sf).select((F.col("event_id") % 8).alias("number"), "member", "line")
-    lines.groupBy("number").applyInArrow(write, "number long").write.format("noop").mode("overwrite").save()
+    dealt = lines.repartitionById(8, F.pmod("number", F.lit(8)).cast("int")).sortWithinPartitions("number", "member")
+    dealt.mapInArrow(write, "number long").write.format("noop").mode("overwrite").save()
     return scratch.until_end(spark, folder)
 
 

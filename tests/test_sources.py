@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from acerto.config import ReconConfig
 from acerto.operators import staging
-from acerto.plans import job
+from acerto.plans import job, mapping, queries
 from acerto.schemas import REPORT_COLUMNS, STAGED_COLUMNS
 from acerto.sources import archives, delimited, tables
 from acerto.streaming import ingest
@@ -304,3 +304,35 @@ def test_second_run_of_a_day_leaves_one_text(spark, tmp_path):
     for _ in range(2):
         job.run(spark, ReconConfig(as_of=date(2021, 6, 2)), *path.values())
     assert spark.read.parquet(path["reports"]).groupBy("date").count().filter("count > 1").count() == 0
+
+
+def test_test_archives_are_written_without_holding_a_group(spark, tmp_path, monkeypatch):
+    def whole_group(*_):
+        raise AssertionError("a group would be held by one task")
+
+    monkeypatch.setattr(type(spark.range(1).groupBy("id")), "applyInArrow", whole_group)
+    monkeypatch.setattr(type(spark.range(1).groupBy("id")), "applyInPandas", whole_group)
+    spark.range(-40, 400).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' as ts", "id % 9 as user_id", "'purchase' as event_type", "cast(id as double) as value",
+        "'' as props").write.parquet(str(tmp_path / "events.parquet"))
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, 7)
+    try:
+        folder = queries._zip_files(spark, str(tmp_path)).removeprefix("file:")
+    finally:
+        spark.conf.set(rows, before)
+    expected = {}
+    for r in mapping.report_lines(spark, str(tmp_path)).collect():
+        sign, number = (-1 if r.event_id < 0 else 1), abs(r.event_id) % 8  # as in SQL
+        expected.setdefault(sign * number, {}).setdefault(r.member, []).append(r.line)
+    assert {n for n in os.listdir(folder) if n.endswith(".zip")} == {f"{n}.zip" for n in expected}
+    with pytest.raises(zipfile.BadZipFile):
+        zipfile.ZipFile(f"{folder}/0.zip")
+    for number in set(expected) - {0}:
+        with zipfile.ZipFile(f"{folder}/{number}.zip") as zipped:
+            assert zipped.namelist() == sorted(expected[number])
+            for name, lines in expected[number].items():
+                text = zipped.read(name).decode()
+                assert text.startswith(";".join(HEADER) + "\n") and len(text) == len(member(*lines))
+                assert all(line + "\n" in text for line in lines)
