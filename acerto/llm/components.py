@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
+#: Links that a task of a round takes on average.
+_LINKS_A_TASK = 200_000
+
 
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, component) for each node of `links` (left, right: long), component being the
@@ -16,11 +19,14 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     its neighbours: first its larger neighbours (large star), then its smaller ones
     (small star). The rows never grow beyond the number of links, and the rounds with the logarithm of
     the longest path. Neighbourhoods are aggregated, never gathered; links of a hot node are
-    joined with one row, which adaptive execution splits.
+    joined with one row, which adaptive execution splits. A round has tasks for its links, not for the session's
+    partitions: each task of each shuffle writes files of its own, and there are many shuffles.
     """
     stars = checkpointed(
         links.where("left is not null and right is not null and left <> right")
         .select(F.greatest("left", "right").alias("node"), F.least("left", "right").alias("root")).distinct())
+    tasks = 1 + stars.count() // _LINKS_A_TASK
+    stars = stars.coalesce(tasks)
     for _ in range(most_rounds):
         if _is_settled(stars):
             break
@@ -29,12 +35,12 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         least = both.select("node").distinct().join(smallest, "node", "left").select(
             "node", F.least("node", F.coalesce("least", "node")).alias("least"))
         large = (both.where("root > node").join(least, "node")
-                 .select(F.col("root").alias("node"), F.col("least").alias("root")).distinct())
+                 .select(F.col("root").alias("node"), F.col("least").alias("root")).coalesce(tasks).distinct().coalesce(tasks))
         lowest = large.groupBy("node").agg(F.min("root").alias("least"))
         small = (large.join(lowest, "node")
                  .select(F.when(F.col("root") == F.col("least"), F.col("node")).otherwise(F.col("root")).alias("node"),
-                         F.col("least").alias("root")).where("node <> root").distinct())
-        stars = checkpointed(small)
+                         F.col("least").alias("root")).where("node <> root").coalesce(tasks).distinct())
+        stars = checkpointed(small.coalesce(tasks))
     else:
         raise RuntimeError(f"components: not settled in {most_rounds} rounds")
     roots = stars.select(F.col("root").alias("node"), F.col("root").alias("component")).distinct()
@@ -43,7 +49,7 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 def _is_settled(stars: DataFrame) -> bool:
     """Whether every node has one root and no root has one itself."""
-    if stars.groupBy("node").count().where("count > 1").limit(1).count():
+    if not stars.groupBy("node").count().where("count > 1").isEmpty():
         return False
-    return not stars.select(F.col("root").alias("node")).distinct().join(
-        stars.select("node"), "node", "left_semi").limit(1).count()
+    return stars.select(F.col("root").alias("node")).distinct().join(
+        stars.select("node"), "node", "left_semi").isEmpty()

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from acerto.llm import components as rounds
 from acerto.llm import near_ngrams as ng
 from acerto.llm.components import components
 
@@ -155,3 +156,27 @@ def test_components(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "left long, right long")).collect()}
     wanted = {i: 100 for i in range(100, 161)} | {3: 3, 9: 3, 200: 3, 50: 50, 51: 50} | {i: 500 for i in range(500, 540)}
     assert found == wanted
+
+
+def test_rounds_of_few_links_have_few_tasks(spark, monkeypatch):
+    parts, kept = [], {n: spark.conf.get(n) for n in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+
+    def counting(df, checkpointed=rounds.checkpointed):
+        parts.append(df.rdd.getNumPartitions())
+        return checkpointed(df)
+
+    monkeypatch.setattr(rounds, "checkpointed", counting)
+    spark.conf.set("spark.sql.shuffle.partitions", 50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        links = spark.createDataFrame([(k, k + 1) for k in range(20)], "left long, right long")
+        found = components(links)
+        assert {(r.node, r.component) for r in found.collect()} == {(k, 0) for k in range(21)}
+        assert len(parts) > 2 and max(parts[1:]) == 1
+        parts.clear()
+        monkeypatch.setattr(rounds, "_LINKS_A_TASK", 5)
+        assert {(r.node, r.component) for r in components(links).collect()} == {(k, 0) for k in range(21)}
+        assert max(parts[1:]) > 1
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
